@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wellspring.llm import quality_model, quality_rules, url_filter
+from wellspring.llm import bpe, language, quality_model, quality_rules, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_language": language.query,
+        "op6_byte_bpe": bpe.query,
         "op7_quality_rules": quality_rules.query,
         "op8_quality_model": quality_model.query,
         "op10_url_filter": url_filter.query,
