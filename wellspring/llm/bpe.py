@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from wellspring.llm._common import table
 from wellspring.session import ship
@@ -211,7 +212,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([e.decode(x.as_py()) for x in b.column(place)], pa.binary())], [*b.schema.names, "decoded"])
 
-    return encoded.mapInArrow(run, encoded.schema.add("decoded", "binary"))
+    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("decoded", BinaryType())]))
 
 
 def digests(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
