@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wellspring.llm import bpe, language, quality_model, quality_rules, url_filter
+from wellspring.llm import bpe, language, ngram_join, quality_model, quality_rules, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_join": ngram_join.query,
         "op2_language": language.query,
         "op6_byte_bpe": bpe.query,
         "op7_quality_rules": quality_rules.query,
