@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wellspring.llm import bpe, language, ngram_join, quality_model, quality_rules, url_filter
+from wellspring.llm import bpe, language, ngram_join, quality_model, quality_rules, topk, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,9 +16,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_byte_bpe": bpe.query,
         "op7_quality_rules": quality_rules.query,
         "op8_quality_model": quality_model.query,
+        "op9_topk": topk.query,
         "op10_url_filter": url_filter.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_quality_rules": quality_rules.ORACLE_SQL, "op10_url_filter": url_filter.ORACLE_SQL}
+    return {
+        "op7_quality_rules": quality_rules.ORACLE_SQL,
+        "op9_topk": topk.ORACLE_SQL,
+        "op10_url_filter": url_filter.ORACLE_SQL,
+    }
