@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wellspring.llm import bpe, language, ngram_join, quality_model, quality_rules, topk, url_filter
+from wellspring.llm import bpe, language, ngram_join, quality_model, quality_rules, topk, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": ngram_join.query,
         "op2_language": language.query,
+        "op3_toxicity": toxicity.query,
         "op6_byte_bpe": bpe.query,
         "op7_quality_rules": quality_rules.query,
         "op8_quality_model": quality_model.query,
