@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from wellspring.llm import bpe, mixing, ngram_join, pii, quality_model
+from wellspring.session import materialize
+
+#: Each takes (spark, docs, sf_dir); all but the last return the columns of documents.
+STAGES = [
+    ("quality", quality_model.stage),
+    ("near_duplicates", ngram_join.stage),
+    ("personal_data", pii.stage),
+    ("mixing", mixing.stage),
+    ("tokens", bpe.stage),
+]
+#: Trained models and MinHash have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stage over the whole of its predecessor's output, which is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -105,11 +105,12 @@ class Encoder:
 
 
 def encoder(shared) -> Encoder:
-    """This Python worker's encoder for the broadcast ranks and pattern."""
-    if shared.id not in _MADE:
+    """This Python worker's encoder for the broadcast (name, ranks, pattern)."""
+    name, ranks, pattern = shared.value
+    if name not in _MADE:
         _MADE.clear()
-        _MADE[shared.id] = Encoder(*shared.value)
-    return _MADE[shared.id]
+        _MADE[name] = Encoder(ranks, pattern)
+    return _MADE[name]
 
 
 def stitch(chunks: list[tuple[int, str, np.ndarray]], encoder: Encoder) -> list[list[str]]:
@@ -161,7 +162,7 @@ def stitch(chunks: list[tuple[int, str, np.ndarray]], encoder: Encoder) -> list[
 def _share(spark, path: str, pattern: str):
     """Ranks (under 2 MB for 50,000 tokens) and pattern as a broadcast variable; executors need no file."""
     ship(spark)
-    return spark.sparkContext.broadcast((read_ranks(path), pattern))
+    return spark.sparkContext.broadcast((f"{path} {pattern}", read_ranks(path), pattern))
 
 
 def _packed(ids: list[int]) -> bytes:

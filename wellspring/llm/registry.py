@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wellspring.llm import bpe, language, ngram_join, pii, quality_model, quality_rules, topk, toxicity, url_filter
+from wellspring.llm import bpe, language, mixing, ngram_join, pii, quality_model, quality_rules, topk, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_language": language.query,
         "op3_toxicity": toxicity.query,
         "op4_pii": pii.query,
+        "op5_mixing": mixing.query,
         "op6_byte_bpe": bpe.query,
         "op7_quality_rules": quality_rules.query,
         "op8_quality_model": quality_model.query,
