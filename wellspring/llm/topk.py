@@ -95,13 +95,13 @@ def _search(k: int, scale: int):
     def run(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int, int]] = []
         if len(vectors) and len(queries):
-            size, wanted = vectors["v"].map(len), queries["v"].map(len)
+            size, wanted = vectors["v"].map(len), queries["q"].map(len)
             for d in sorted(set(size) & set(wanted)):
                 mine, ask = vectors[size == d], queries[wanted == d]
-                points, ids, qs = whole(mine["v"]), mine["vec_id"].to_numpy(), whole(ask["v"])
+                points, ids, qs = whole(mine["v"]), mine["vec_id"].to_numpy(), whole(ask["q"])
                 safe = d * max(1.0, np.abs(points).max(initial=0)) * max(1.0, np.abs(qs).max(initial=0)) < 2**52
                 tree = Tree(points, ids) if safe else None
-                for own, q, least in zip(ask["vec_id"].to_numpy(), qs, ask["least"].to_numpy()):
+                for own, q, least in zip(ask["q_id"].to_numpy(), qs, ask["least"].to_numpy()):
                     if tree:
                         found, scores = tree.search(q, own, k, least if least == least else -math.inf)
                         out += [(own, i, int(s)) for i, s in zip(found, scores)]
@@ -123,18 +123,19 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
     shards, blocks = max(1, math.ceil(n / SHARD_ROWS)), max(1, math.ceil(asked / QUERY_BLOCK))
     deal = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
     every = v.withColumn("shard", deal).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    queries = v.where(is_query).withColumn("home", deal).withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
+    queries = v.where(is_query).withColumn("home", deal).withColumn("q_block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
+    queries = queries.select(F.col("vec_id").alias("q_id"), F.col("v").alias("q"), "home", "q_block")
     schema = "query_id bigint, vec_id bigint, score bigint"
 
     def meet(asking: DataFrame) -> DataFrame:
-        return every.groupBy("shard", "block").cogroup(asking.groupBy("shard", "block")).applyInPandas(_search(k, scale), schema)
+        return every.groupBy("shard", "block").cogroup(asking.groupBy("q_shard", "q_block")).applyInPandas(_search(k, scale), schema)
 
-    at_home = queries.select("vec_id", "v", F.col("home").alias("shard"), "block", F.lit(None).cast("double").alias("least"))
+    at_home = queries.select("q_id", "q", F.col("home").alias("q_shard"), "q_block", F.lit(None).cast("double").alias("least"))
     found = materialize(meet(at_home), "home")
     if shards > 1:
         least = found.groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score")).cast("double").alias("least"))
-        others = queries.join(least, F.col("vec_id") == F.col("query_id"), "left").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> home")
-        found = found.union(meet(others.select("vec_id", "v", "shard", "block", "least")))
+        others = queries.join(least, F.col("q_id") == F.col("query_id"), "left").withColumn("q_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("q_shard <> home")
+        found = found.union(meet(others.select("q_id", "q", "q_shard", "q_block", "least")))
     best = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")
 
