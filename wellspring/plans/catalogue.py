@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
 
+from wellspring.plans import profiles, screens
 
-def oracle_sql():
-    return {}
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**profiles.QUERIES, **screens.QUERIES}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**profiles.SQL, **screens.SQL}
