@@ -69,7 +69,9 @@ def benjamini_hochberg(df: DataFrame, p: str, out: str, by: list[str] | None = N
 
 def _pooled_bh(df: DataFrame, p: str, out: str) -> DataFrame:
     """Counts of each different p-value are cumulated; equal p-values share the rank of their last, as BH lets them."""
-    counts = df.where(F.col(p).isNotNull()).groupBy(F.col(p).alias("bh_p")).agg(F.count("*").alias("bh_c"))
+    from wellspring.session import materialize
+
+    counts = materialize(df.where(F.col(p).isNotNull()).groupBy(F.col(p).alias("bh_p")).agg(F.count("*").alias("bh_c")), "counts")
     ranked = cumulative(counts, "bh_p", "bh_c", "bh_rank")
     total = counts.agg(F.sum("bh_c")).first()[0] or 0
     ranked = ranked.withColumn("bh_q", F.least(F.lit(1.0), F.col("bh_p") * total / F.col("bh_rank")))

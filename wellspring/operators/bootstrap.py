@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspring.functions.stats import benjamini_hochberg, fold_p
-from wellspring.session import ship
+from wellspring.session import materialize, ship
 
 #: Control rows that may be sent to every executor; more are sampled down by a hash of their keys, as the draws would.
 MOST_CONTROLS = 500_000
@@ -57,7 +57,8 @@ def construct_bootstrap(constructs: DataFrame, controls: DataFrame, features: li
     kind = dict(constructs.dtypes)[construct]
     # Constructs are few rows but much work: they are dealt to all cores, a number that isn't coalesced again.
     dealt = constructs.select(construct, size).repartition(spark.sparkContext.defaultParallelism * 2)
-    return dealt.mapInPandas(run, f"`{construct}` {kind}, sim int, x array<double>")
+    # Several steps read the nulls: they are drawn once.
+    return materialize(dealt.mapInPandas(run, f"`{construct}` {kind}, sim int, x array<double>"), "nulls")
 
 
 def gene_null(nulls: DataFrame, members: DataFrame, construct: str, gene: str) -> DataFrame:
@@ -81,6 +82,7 @@ def correct_pooled(p: DataFrame, features: list[str], key: str, by: list[str] |
     by: BH within groups instead.
     """
     cols = [f"{f}_pval" for f in features]
+    p = materialize(p, "pvalues")
     floor = p.agg(F.max("num_sims")).first()[0] or 1
     low = p.withColumns({c: F.when(F.col(c) == 0, F.lit(1.0 / floor)).otherwise(F.col(c)) for c in cols})
     long = low.select(key, *(by or []), *cols).unpivot([key, *(by or [])], cols, "feature", "p")
@@ -108,8 +110,6 @@ def perturbation_scores(df: DataFrame, features: list[str], perturbation: str, c
     Genes with too few rows have no score.
     """
     ship(df.sparkSession)
-    from wellspring.session import materialize
-
     base = materialize(df.select(*keys, perturbation, control.alias("c_"), *[F.col(f).cast("double").alias(f) for f in features], F.xxhash64(*keys, F.lit(seed)).alias("h_")), "scores")
     genes = base.where(f"NOT c_ AND `{perturbation}` IS NOT NULL")
     ranked = genes.withColumn("k_", F.row_number().over(Window.partitionBy(perturbation).orderBy("h_", *keys))).where(F.col("k_") <= most).drop("k_")

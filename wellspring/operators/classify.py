@@ -42,18 +42,18 @@ class ThresholdClassifier(CellClassifier):
             return df.withColumns({"class": F.lit(None).cast("string"), "confidence": F.lit(None).cast("double")})
         scaled = (v - q2) / ((q3 - q1) or 1.0)
         out = df.withColumn("class", F.when(scaled > self.cutoff, self.positive).otherwise(self.negative))
-        return out.join(_rank_share(out, "class", self.feature, self.keys), self.keys) if self.keys else out.withColumn("confidence", F.row_number().over(Window.partitionBy("class").orderBy(v)) / F.count("*").over(Window.partitionBy("class")))
+        return _rank_share(out, "class", self.feature, self.keys) if self.keys else out.withColumn("confidence", F.row_number().over(Window.partitionBy("class").orderBy(v)) / F.count("*").over(Window.partitionBy("class")))
 
 
 def _rank_share(df: DataFrame, group: str, value: str, keys: list[str]) -> DataFrame:
-    """keys and confidence (rank / size in the group), ranks by cumulative counts over range partitions: no task sorts a whole class."""
+    """df with confidence (rank / size in the group), ranks by cumulative counts over range partitions: no task sorts a whole class."""
     from wellspring.functions.stats import cumulative
 
     out = None
     for (g,) in df.select(group).distinct().collect():  # two classes
-        mine = df.where(F.col(group).eqNullSafe(g)).select(*keys, F.struct(clean(F.col(value).cast("double")).alias("v"), *keys).alias("o_"), F.lit(1).alias("one_"))
+        mine = df.where(F.col(group).eqNullSafe(g)).withColumns({"o_": F.struct(clean(F.col(value).cast("double")).alias("v"), *keys), "one_": F.lit(1)})
         n = mine.count()
-        ranked = cumulative(mine, "o_", "one_", "r_").select(*keys, (F.col("r_") / n).alias("confidence"))
+        ranked = cumulative(mine, "o_", "one_", "r_").withColumn("confidence", F.col("r_") / n).drop("o_", "one_", "r_")
         out = ranked if out is None else out.unionByName(ranked)
     return out
 
@@ -85,18 +85,18 @@ class TrainedClassifier(CellClassifier):
     def train(df: DataFrame, features: list[str], label: str, kind: str = "lr", scale: bool = True, grid: dict | None = None, folds: int = 5, k_best: int | None = None) -> tuple[TrainedClassifier, float]:
         """The classifier fitted on all rows, and its balanced accuracy on a held-out 30 % of each class (by hash)."""
         df = df.where(_all_present(features) & F.col(label).isNotNull()).withColumn("label_", F.col(label).cast("string"))
-        indexer = StringIndexer(inputCol="label_", outputCol="y", stringOrderType="alphabetAsc").fit(df)
+        indexer = StringIndexer(inputCol="label_", outputCol="label_index_", stringOrderType="alphabetAsc").fit(df)
         steps = [VectorAssembler(inputCols=features, outputCol="raw0" if k_best else "raw")]
         if k_best:
-            steps.append(UnivariateFeatureSelector(featuresCol="raw0", outputCol="raw", labelCol="y", selectionMode="numTopFeatures").setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(k_best))
+            steps.append(UnivariateFeatureSelector(featuresCol="raw0", outputCol="raw", labelCol="label_index_", selectionMode="numTopFeatures").setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(k_best))
         steps.append(StandardScaler(inputCol="raw", outputCol="scaled", withMean=scale, withStd=scale))
-        model = MODELS[kind]("y")
+        model = MODELS[kind]("label_index_")
         data = indexer.transform(df)
         w = Window.partitionBy("label_").orderBy(F.xxhash64(*features))
         split = data.withColumn("r_", F.percent_rank().over(w))
-        judge = MulticlassClassificationEvaluator(labelCol="y", metricName="weightedRecall")
-        weights = split.groupBy("y").agg(F.count("*").alias("n_"))
-        split = split.join(F.broadcast(weights), "y").withColumn("weight_", 1 / F.col("n_"))
+        judge = MulticlassClassificationEvaluator(labelCol="label_index_", metricName="weightedRecall")
+        weights = split.groupBy("label_index_").agg(F.count("*").alias("n_"))
+        split = split.join(F.broadcast(weights), "label_index_").withColumn("weight_", 1 / F.col("n_"))
         judge = judge.setWeightCol("weight_")
         pipeline = Pipeline(stages=[*steps, model])
         if grid:

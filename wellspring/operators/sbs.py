@@ -40,6 +40,8 @@ def to_cycles(bases: DataFrame, channels: list[str], keys: list[str] | None = No
 
 def _inverse_of(rows: list, n: int) -> np.ndarray:
     """Inverse of the column-normalised matrix of median vectors; the identity where it has none."""
+    if any(r is None or len(r) != n for r in rows):
+        return np.eye(n)
     m = np.array(rows, float)
     if m.shape != (n, n) or not np.isfinite(m).all():
         return np.eye(n)
@@ -55,7 +57,7 @@ def _inverse_of(rows: list, n: int) -> np.ndarray:
 @F.pandas_udf(ArrayType(ArrayType(DoubleType())))
 def _invert(medians: pd.Series) -> pd.Series:
     """medians: for each channel, in order, the median intensities of its spots."""
-    return pd.Series([_inverse_of([list(r) if r is not None else [np.nan] for r in m], len(m)).tolist() for m in medians])
+    return pd.Series([_inverse_of(list(m), len(m)).tolist() for m in medians])
 
 
 def mixing(cycles: DataFrame, n: int, by: list[str], method: str = "median", where: Column | None = None, quartile: float | None = None) -> DataFrame:
