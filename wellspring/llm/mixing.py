@@ -39,13 +39,16 @@ class Classifier:
     def __init__(self, domains: list[str], prior: np.ndarray, words: list[str], shares: np.ndarray):
         self.domains, self.prior, self.words, self.shares = domains, prior, words, shares
 
-    def posteriors(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
-        """docs with n_tokens and p0, p1, ...: one for each domain; one narrow pass.
+    def posteriors(self, docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+        """row (a struct of the columns to keep), n_tokens and p0, p1, ...: one for each domain; one narrow pass.
 
         A word counts between spaces; its count is how much shorter the text gets without it.
         """
         t = _text(text_col)
-        df = docs.withColumn("n_tokens", F.regexp_count(t, F.lit(WORD)).cast("long"))
+        row = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)])
+        df = docs.select(row.alias("row"), t.alias("t"))
+        t = F.col("t")
+        df = df.withColumn("n_tokens", F.regexp_count(t, F.lit(WORD)).cast("long"))
         df = df.withColumns({f"c{i}": ((F.length(t) - F.length(F.replace(t, F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)) for i, w in enumerate(self.words)})
         scores = {}
         for k in range(len(self.domains)):
@@ -59,7 +62,7 @@ class Classifier:
         df = df.withColumn("top", top).withColumns({s: F.exp(F.col(s) - F.col("top")) for s in names})
         total = sum((F.col(s) for s in names[1:]), F.col(names[0]))
         df = df.withColumn("total", total).withColumns({f"p{k}": F.col(s) / F.col("total") for k, s in enumerate(names)})
-        return df.drop(*names, "top", "total")
+        return df.drop("t", *names, "top", "total")
 
 
 def train(docs: DataFrame, domain_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE_DOCS) -> Classifier:
@@ -122,10 +125,9 @@ def fit_rates(members: DataFrame, n_domains: int, targets: dict[int, float] | No
 
 
 def rates(docs: DataFrame, targets: dict[str, float] | None = None, total: float | None = None, least: float = 0.0, domain_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> tuple[DataFrame, Classifier]:
-    """Columns `keep` (docs' own, else), n_tokens, posteriors and rate of every row."""
+    """row (a struct of the columns to keep, else of docs' own), n_tokens, posteriors and rate of every row."""
     model = train(docs, domain_col, id_col, text_col)
-    members = model.posteriors(docs, text_col).select(*(keep if keep is not None else docs.columns), "n_tokens", *[f"p{k}" for k in range(len(model.domains))])
-    members = materialize(members, "members")
+    members = materialize(model.posteriors(docs, text_col, keep), "members")
     rated, _ = fit_rates(members, len(model.domains), {model.domains.index(d): w for d, w in targets.items()} if targets else None, total, least)
     return rated, model
 
@@ -138,7 +140,8 @@ def copies(rate: Column, key: Column) -> Column:
 def resample(docs: DataFrame, targets: dict[str, float] | None = None, total: float | None = None, least: float = 0.0) -> DataFrame:
     """docs' columns, every row as often as its rate says."""
     rated, _ = rates(docs, targets, total, least)
-    return rated.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), copies(F.col("rate"), F.col("doc_id")))).alias("copy_")).select(*docs.columns)
+    repeated = rated.select("row", F.explode(F.array_repeat(F.lit(0), copies(F.col("rate"), F.col("row.doc_id")))).alias("copy"))
+    return repeated.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -147,7 +150,7 @@ def query(spark, sf_dir: str) -> DataFrame:
     rated, model = rates(table(spark, sf_dir, "documents"), keep=["doc_id"])
     p = F.array(*[F.col(f"p{k}") for k in range(len(model.domains))])
     best = F.array_position(p, F.array_max(p)).cast("int") - 1
-    return rated.select("doc_id", "n_tokens", F.get(F.array(*map(F.lit, model.domains)), best).alias("domain"), F.round(F.array_max(p), 6).alias("posterior"), F.round("rate", 6).alias("rate"), copies(F.col("rate"), F.col("doc_id")).alias("copies"))
+    return rated.select("row.doc_id", "n_tokens", F.get(F.array(*map(F.lit, model.domains)), best).alias("domain"), F.round(F.array_max(p), 6).alias("posterior"), F.round("rate", 6).alias("rate"), copies(F.col("rate"), F.col("row.doc_id")).alias("copies"))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

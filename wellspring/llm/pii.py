@@ -85,11 +85,12 @@ def _spans_of(kind: str) -> Column:
     return F.when(F.size(matches) > 0, F.aggregate(both, start, step, lambda a: a["out"])).otherwise(_no_spans())
 
 
-def base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with t (the text, never null), key (two hashes of it) and spans, by kind and start; one narrow pass."""
+def base_spans(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """row (the columns to keep), t (the text, never null), key (two hashes of it) and spans, by kind and start; one narrow pass."""
     hint = {k: F.col("t").rlike(v) for k, v in HINTS.items()}
     none = F.array().cast("array<string>")
-    df = docs.withColumn("t", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    keep = docs.columns if keep is None else keep
+    df = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
     df = df.withColumns({k: F.when(hint[k], F.regexp_extract_all("t", F.lit(PATTERNS[k]), F.lit(0))).otherwise(none) for k in KINDS})
     return df.withColumns({"key": F.struct(F.xxhash64("t").alias("h"), F.hash("t").alias("g")), "spans": F.concat(*[_spans_of(k) for k in KINDS])}).drop(*KINDS)
 
@@ -155,10 +156,10 @@ def term_spans(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> Dat
 
 
 def find(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT, window: int = WINDOW, text_col: str = "text", keep: list[str] | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """(rows, term_spans): columns `keep`, key and spans (base) for every row of docs; and the spans of revealing terms by key."""
-    keep = keep if keep is not None else docs.columns
-    found = base_spans(docs, text_col).withColumn("mentions", _mentions(window))
-    found = materialize(found.select(*keep, "key", "spans", "mentions"), "personal")
+    """(rows, term_spans): row (a struct of the columns to keep, docs' own names can't clash), key and spans (base) for every
+    row of docs; and the spans of revealing terms by key."""
+    found = base_spans(docs, text_col, keep).withColumn("mentions", _mentions(window))
+    found = materialize(found.select("row", "key", "spans", "mentions"), "personal")
     terms = revealing_terms(docs, found.select("key", "mentions"), disclosure, support, text_col)
     return found.drop("mentions"), None if terms is None else term_spans(docs, terms, text_col)
 
@@ -188,7 +189,7 @@ def sanitize(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUP
     columns = docs.columns
     rows, terms = find(docs, disclosure, support, text_col=text_col)
     spans = _with_terms(rows, terms).withColumn("ordered", F.array_sort(F.transform("all_spans", lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("back"), x["kind"].alias("kind"), x["e"].alias("e"), x["v"].alias("v")))))
-    t = F.col(text_col)
+    t = F.col("row")[text_col]
 
     def step(a: Column, x: Column) -> Column:
         apart = x["s"] >= a["at"]
@@ -197,10 +198,9 @@ def sanitize(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUP
 
     rest = lambda a: F.concat(a["out"], F.substr(t, a["at"] + 1, F.length(t)))
     new = F.when(F.size("ordered") > 0, F.aggregate("ordered", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, rest)).otherwise(t)
-    out = spans.withColumn(text_col, new)
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.length(text_col).cast("long"))
-    return out.select(*columns)
+    out = spans.select("row", new.alias("t"))
+    final = {text_col: F.col("t")} | ({"n_chars": F.length("t").cast("long")} if "n_chars" in columns else {})
+    return out.select(*[final.get(c, F.col("row")[c]).alias(c) for c in columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -208,7 +208,7 @@ def query(spark, sf_dir: str) -> DataFrame:
 
     rows, terms = find(table(spark, sf_dir, "documents"), keep=["doc_id"])
     count = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
-    return _with_terms(rows, terms).select("doc_id", *[count(k) for k in KINDS], F.sha2(_listed("spans"), 256).alias("base_sha256"), _listed("all_spans").alias("spans"))
+    return _with_terms(rows, terms).select("row.doc_id", *[count(k) for k in KINDS], F.sha2(_listed("spans"), 256).alias("base_sha256"), _listed("all_spans").alias("spans"))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

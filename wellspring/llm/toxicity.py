@@ -31,7 +31,7 @@ STEMS = range(4, 9)
 LEAST_DOCS, LEAST_ODDS, MOST_ENTRIES = 4, math.log(15), 20_000
 
 # Letters of other scripts that look like Latin ones, and what digits and signs stand for in a word.
-LOOKALIKES = dict(zip("аеорсухіјѕԁԛԝһѵɡαεορτυικνχ", "aeopcyxijsdqwhvgaeoptuiknx"))
+LOOKALIKES = dict(zip("аеорсухіјѕԁԛԝһѵɡмнтквαεορτυικνχ", "aeopcyxijsdqwhvgmhtkbaeoptuiknx"))
 SUBSTITUTES = dict(zip("0134578@$€", "oieastbase"))
 
 
