@@ -59,9 +59,9 @@ def _rank_share(df: DataFrame, group: str, value: str, keys: list[str]) -> DataF
 
 
 MODELS = {
-    "lr": lambda label: LogisticRegression(labelCol=label, featuresCol="scaled", maxIter=100, regParam=1e-3),
-    "rf": lambda label: RandomForestClassifier(labelCol=label, featuresCol="scaled", numTrees=100, seed=42),
-    "gbt": lambda label: OneVsRest(classifier=GBTClassifier(featuresCol="scaled", maxIter=20, seed=42), labelCol=label, featuresCol="scaled"),
+    "lr": lambda label: LogisticRegression(labelCol=label, featuresCol="scaled_", maxIter=100, regParam=1e-3),
+    "rf": lambda label: RandomForestClassifier(labelCol=label, featuresCol="scaled_", numTrees=100, seed=42),
+    "gbt": lambda label: OneVsRest(classifier=GBTClassifier(featuresCol="scaled_", maxIter=20, seed=42), labelCol=label, featuresCol="scaled_"),
 }
 
 
@@ -79,17 +79,17 @@ class TrainedClassifier(CellClassifier):
         if "probability" in out.columns:
             out = out.withColumn("p_", vector_to_array("probability")).withColumn("confidence", F.array_max("p_"))
             out = out.withColumns({f"prob_{c}": F.col("p_")[k] for k, c in enumerate(self.classes)}).drop("p_")
-        return out.drop("raw", "scaled", "rawPrediction", "probability", "prediction")
+        return out.drop("raw_", "scaled_", "rawPrediction", "probability", "prediction")
 
     @staticmethod
     def train(df: DataFrame, features: list[str], label: str, kind: str = "lr", scale: bool = True, grid: dict | None = None, folds: int = 5, k_best: int | None = None) -> tuple[TrainedClassifier, float]:
         """The classifier fitted on all rows, and its balanced accuracy on a held-out 30 % of each class (by hash)."""
         df = df.where(_all_present(features) & F.col(label).isNotNull()).withColumn("label_", F.col(label).cast("string"))
         indexer = StringIndexer(inputCol="label_", outputCol="label_index_", stringOrderType="alphabetAsc").fit(df)
-        steps = [VectorAssembler(inputCols=features, outputCol="raw0" if k_best else "raw")]
+        steps = [VectorAssembler(inputCols=features, outputCol="unselected_" if k_best else "raw_")]
         if k_best:
-            steps.append(UnivariateFeatureSelector(featuresCol="raw0", outputCol="raw", labelCol="label_index_", selectionMode="numTopFeatures").setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(k_best))
-        steps.append(StandardScaler(inputCol="raw", outputCol="scaled", withMean=scale, withStd=scale))
+            steps.append(UnivariateFeatureSelector(featuresCol="unselected_", outputCol="raw_", labelCol="label_index_", selectionMode="numTopFeatures").setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(k_best))
+        steps.append(StandardScaler(inputCol="raw_", outputCol="scaled_", withMean=scale, withStd=scale))
         model = MODELS[kind]("label_index_")
         data = indexer.transform(df)
         w = Window.partitionBy("label_").orderBy(F.xxhash64(*features))
@@ -123,8 +123,8 @@ def enhance_features(df: DataFrame, features: list[str], label: str | None = Non
     row = df.agg(*[F.var_pop(clean(F.col(f).cast("double"))).alias(f) for f in features]).first()
     kept = [f for f in features if row[f] is not None and row[f] > variance]
     if len(kept) > 1:
-        x = VectorAssembler(inputCols=kept, outputCol="x", handleInvalid="skip").transform(df.select(*[F.col(f).cast("double").alias(f) for f in kept]))
-        r = Correlation.corr(x, "x").first()[0].toArray()
+        x = VectorAssembler(inputCols=kept, outputCol="vector_", handleInvalid="skip").transform(df.select(*[F.col(f).cast("double").alias(f) for f in kept]))
+        r = Correlation.corr(x, "vector_").first()[0].toArray()
         gone = {j for j in range(len(kept)) for i in range(j) if abs(r[i, j]) > correlation}
         kept = [f for k, f in enumerate(kept) if k not in gone]
     if k_best and label and len(kept) > k_best:
