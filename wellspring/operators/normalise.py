@@ -110,7 +110,6 @@ def moments(df: DataFrame, vector: str, by: list[str] | None = None) -> dict[tup
     types = dict(df.dtypes)
     fields = ", ".join([*[f"`{c}` {types[c]}" for c in by], "n_ bigint, s_ array<double>, q_ array<double>"])
     parts = df.select(*by, vector).mapInPandas(run, fields)
-    add = lambda c: F.transform(F.sort_array(F.collect_list(c)), lambda v: v)  # noqa: E731,F841
     flat = parts.select(*by, "n_", F.posexplode(F.concat("s_", "q_")).alias("i", "v")).groupBy(*by, "i").agg(F.sum("v").alias("v"), F.sum("n_").alias("n"))
     out: dict[tuple, tuple[int, np.ndarray, np.ndarray]] = {}
     rows: dict[tuple, dict[int, float]] = {}

@@ -94,17 +94,14 @@ def packed_medians(spark, d):
     return p.select("construct", "gene", *[F.round(F.col("x")[i], 4).alias(f) for i, f in enumerate(FEATURES)])
 
 
-@query("""SELECT 'value' AS "column", avg(CASE WHEN value < 20 THEN 1.0 ELSE 0 END) AS percent_na FROM events
-UNION ALL SELECT 'event_type', avg(CASE WHEN event_type = 'click' THEN 1.0 ELSE 0 END) FROM events""")
+@query("""WITH n AS (SELECT 'value' AS "column", avg(CASE WHEN value < 20 THEN 1.0 ELSE 0.0 END) AS p FROM events
+UNION ALL SELECT 'event_type', avg(CASE WHEN event_type = 'click' THEN 1.0 ELSE 0.0 END) FROM events)
+SELECT "column", round(p, 9) AS percent_na FROM n WHERE p > 0""")
 def na_summary(spark, d):
     df = table(spark, d, "events").select("event_id", F.expr("CASE WHEN value >= 20 THEN value END").alias("value"), F.expr("nullif(event_type, 'click')").alias("event_type"))
     return rounded(qc.na_summary(df), 9)
 
 
-SQL["na_summary"] = """WITH n AS (SELECT 'value' AS "column", avg(CASE WHEN value < 20 THEN 1.0 ELSE 0.0 END) AS p FROM events
-UNION ALL SELECT 'event_type', avg(CASE WHEN event_type = 'click' THEN 1.0 ELSE 0.0 END) FROM events)
-SELECT "column", round(p, 9) AS percent_na FROM n WHERE p > 0"""
-
 
 @query(f"""WITH {CELLS_SQL}, t AS (SELECT count(*) AS n FROM cells), p AS (SELECT plate AS class, count(*) AS c, count(DISTINCT gene) AS g, count(DISTINCT construct) AS k FROM cells GROUP BY plate),
 l AS (SELECT 'all' AS class, 'cells' AS stage, n AS count FROM t UNION ALL SELECT class, 'cells', c FROM p UNION ALL SELECT class, 'gene', g FROM p UNION ALL SELECT class, 'construct', k FROM p)

@@ -138,15 +138,13 @@ def barcode_error_correct_edits(spark, d):
     return joins.error_correct(reads, lib, metric="levenshtein")
 
 
-@query("""SELECT o_custkey % 50 AS tile, avg(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1.0 ELSE 0.0 END) AS rate FROM orders GROUP BY 1 HAVING avg(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1.0 ELSE 0.0 END) > 0""")
+@query("""SELECT tile, round(rate, 9) AS rate FROM (SELECT o_custkey % 50 AS tile, avg(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1.0 ELSE 0.0 END) AS rate FROM orders GROUP BY 1) WHERE rate > 0""")
 def read_mapping_rate(spark, d):
     o = table(spark, d, "orders").select(F.pmod("o_custkey", F.lit(50)).alias("tile"), F.col("o_orderpriority").alias("barcode"))
     lib = spark.createDataFrame([("1-URGENT",), ("2-HIGH",)], "barcode string")
     return rounded(qc.read_mapping_rate(o, lib, ["tile"]), 9)
 
 
-SQL["read_mapping_rate"] = """SELECT tile, round(rate, 9) AS rate FROM (SELECT o_custkey % 50 AS tile, avg(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1.0 ELSE 0.0 END) AS rate FROM orders GROUP BY 1) WHERE rate > 0"""
-
 
 @query("""WITH o AS (SELECT o_custkey, count(DISTINCT o_orderpriority) AS n FROM orders GROUP BY 1), r AS (SELECT c_nationkey AS tile, avg(CASE WHEN n = 1 THEN 1.0 ELSE 0.0 END) AS rate FROM customer LEFT JOIN o ON c_custkey = o_custkey GROUP BY 1)
 SELECT tile, round(rate, 9) AS rate FROM r WHERE rate > 0""")
