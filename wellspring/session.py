@@ -75,9 +75,14 @@ def drop_written() -> None:
 
 _SHIPPED: set[str] = set()
 
+#: Python workers get batches of so many bytes at most: by default one is 10,000 rows, however long.
+BATCH_BYTES = 4 << 20
+
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, for operators with Python code."""
+    """Send this package to the executors once per application, and bound the batches that its Python code gets, unless a bound is set."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -90,3 +95,18 @@ def ship(spark: SparkSession) -> None:
     Path(path).write_bytes(packed.getvalue())
     spark.sparkContext.addPyFile(path)
     _SHIPPED.add(app)
+
+
+def release() -> None:
+    """Give back what a Python worker has freed, when its task ends: idle workers are kept, and else keep their peak too."""
+    import ctypes
+    import gc
+
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        return
