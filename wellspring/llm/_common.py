@@ -35,7 +35,7 @@ def held_out(doc_id: Column) -> Column:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 18)
         _POWERS[:] = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, p, np.uint64)])) for p in (_PRIME, _INVERSE)]
     return _POWERS[0], _POWERS[1]
 
@@ -73,7 +73,7 @@ class Words:
         self.hashes = mix((total[self.ends] - total[self.starts]) * inverse[self.starts] + (self.ends - self.starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_batches(texts: pa.Array, most: int = 1 << 20):
+def word_batches(texts: pa.Array, most: int = 1 << 18):
     """Yields (first text, Words) over runs of texts of about `most` bytes; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()

@@ -23,13 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from wellspring.llm._common import table
-from wellspring.session import ship
+from wellspring.session import release, ship
 
 CHUNK = 32_768
 OVERLAP = 512
 #: A boundary nearer than this to a chunk's end may change once more text is seen (contractions look so far ahead).
 MARGIN = 16
-CACHE = 1 << 18
+CACHE = 1 << 16
 _MADE: dict = {}
 
 
@@ -74,9 +74,6 @@ class Encoder:
         import regex
 
         self.pattern, self.ranks, self.cache = regex.compile(pattern), ranks, {}
-        self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
-        for token, rank in ranks.items():
-            self.tokens[rank] = token
         try:
             import tiktoken
 
@@ -99,9 +96,17 @@ class Encoder:
         """Where each pre-token of text starts."""
         return np.fromiter((m.start() for m in self.pattern.finditer(text)), np.int64)
 
-    def decode(self, ids: bytes) -> bytes:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
+
+def token_bytes(ranks: dict[bytes, int]) -> list[bytes]:
+    """The bytes of each token, by its id."""
+    out = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        out[rank] = token
+    return out
+
+
+def join_bytes(ids: bytes, tokens: list[bytes]) -> bytes:
+    return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
 def encoder(shared) -> Encoder:
@@ -180,12 +185,14 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         for b in batches:
             ids = [_packed(e.encode(e.pattern.findall(x.as_py()))) for x in b.column("text")]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        release()
 
     def bounds(batches):
         e = encoder(shared)
         for b in batches:
             starts = [e.starts(x.as_py()).astype("<i4").tobytes() for x in b.column("text")]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(starts, pa.binary())], [*b.schema.names, "starts"])
+        release()
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
         e = encoder(shared)
@@ -209,9 +216,10 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     place = encoded.columns.index("ids")
 
     def run(batches):
-        e = encoder(shared)
+        tokens = token_bytes(shared.value[1])
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([e.decode(x.as_py()) for x in b.column(place)], pa.binary())], [*b.schema.names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([join_bytes(x.as_py(), tokens) for x in b.column(place)], pa.binary())], [*b.schema.names, "decoded"])
+        release()
 
     return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("decoded", BinaryType())]))
 

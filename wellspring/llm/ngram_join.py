@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wellspring.llm._common import Words, connected_components, mix, table, word_batches
-from wellspring.session import materialize, ship
+from wellspring.session import materialize, release, ship
 
 N = 5
 THRESHOLD = 0.8
@@ -98,6 +98,7 @@ def signatures(docs: DataFrame, bands: int, rows: int, n: int = N, id_col: str =
                 [b.column("doc_id"), pa.array(np.array(d1, np.uint64).view(np.int64)), pa.array(np.array(d2, np.uint64).view(np.int64)), pa.array(np.array(size, np.int32)), pa.ListArray.from_arrays(pa.array(places), pa.array(flat))],
                 ["doc_id", "d1", "d2", "n_shingles", "bands"],
             )
+        release()
 
     picked = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return picked.mapInArrow(run, "doc_id bigint, d1 bigint, d2 bigint, n_shingles int, bands array<bigint>")
@@ -118,6 +119,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                         keep.append(first + k)
                         out.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(keep, pa.int64())) for c in ("node", "copies", "group", "blocks")), pa.array(out, pa.binary())], ["node", "copies", "group", "blocks", "s"])
+        release()
 
     return docs.join(wanted, F.col("doc_id") == F.col("node")).select("node", "copies", "group", "blocks", "d1", "d2", "text").mapInArrow(run, "node bigint, copies bigint, group bigint, blocks int, s binary")
 

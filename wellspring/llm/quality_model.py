@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wellspring.llm._common import Words, held_out, mix, table, word_batches
-from wellspring.session import materialize, ship
+from wellspring.session import materialize, release, ship
 
 FEATURES = (
     "log_words", "word_length", "log_length_spread", "upper", "symbol", "bang", "other_punctuation", "digit", "wordless", "line_breaks",
@@ -104,6 +104,7 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             x = _features(b.column("text"))
             flat = pa.array(x.reshape(-1))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(FEATURES)), flat)], ["doc_id", "x"])
+        release()
 
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return picked.mapInArrow(run, f"doc_id {dict(picked.dtypes)['doc_id']}, x array<double>")
@@ -187,6 +188,7 @@ def keep_good(docs: DataFrame, model: Discriminant, threshold: float = 0.5, text
         for b in batches:
             good = model.score(_features(b.column(place).cast(pa.string()))) >= threshold
             yield b.filter(pa.array(good))
+        release()
 
     return docs.mapInArrow(run, docs.schema)
 
