@@ -110,6 +110,8 @@ def connected_components(edges: DataFrame, rounds: int = 40) -> DataFrame:
             break
         near = e.union(e.select("b", "a"))
         low = near.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # Written first: then both sides are exchanged for this join alone, and a hub's edges can be split between tasks.
+        low = materialize(low, "low")
         e = near.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = e.groupBy("a").agg(F.min("b").alias("m"))
         e = e.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b").where("a <> b").distinct()
