@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspring.llm._common import held_out, table
@@ -198,17 +198,17 @@ def probabilities(net: Network, texts: list[str]) -> np.ndarray:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE_DOCS) -> Network | None:
     """Train on `sample` of the labelled rows of docs, the same number of each language, chosen by a hash of the id."""
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    languages = sorted(r.lang for r in docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang")).distinct().collect())
+    labelled = docs.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"))
+    languages = sorted(r.lang for r in labelled.select("lang").distinct().collect())
     if not languages:
         return None
-    each = max(1, sample // len(languages))
-    rows = []
-    for lang in languages:
-        ids = [r.doc_id for r in docs.where(F.col(lang_col) == lang).select(F.col(id_col).alias("doc_id")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(each).collect()]
-        place = lambda k: F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(F.length("text") - WINDOW, F.lit(1))).cast("int") + 1
-        cut = known.where(F.col("doc_id").isin(ids)).select("doc_id", *[F.substr("text", place(k), F.lit(WINDOW)).alias(f"w{k}") for k in range(WINDOWS_PER_DOC)])
-        rows += [(w, lang) for r in sorted(cut.collect(), key=lambda r: (r[0], r[1:])) for w in r[1:] if w]
+    # Ids first, without texts: tasks keep the first few of each language before anything is shuffled.
+    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    ids = [r.doc_id for r in labelled.withColumn("k", first).where(F.col("k") <= max(1, sample // len(languages))).collect()]
+    place = lambda k: F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(F.length("text") - WINDOW, F.lit(1))).cast("int") + 1
+    known = docs.where(F.col(id_col).isin(ids) & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    cut = known.where(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", *[F.substr("text", place(k), F.lit(WINDOW)).alias(f"w{k}") for k in range(WINDOWS_PER_DOC)])
+    rows = [(w, r.lang) for r in sorted(cut.collect(), key=lambda r: (r.lang, r[0], r[2:])) for w in r[2:] if w]
     if not rows:
         return None
     coded = [w.encode("utf-8")[:WINDOW] for w, _ in rows]
