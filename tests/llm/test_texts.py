@@ -7,6 +7,7 @@ import re
 import duckdb
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -156,6 +157,26 @@ def test_mixing_meets_targets(spark):
     assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == set(texts)
 
 
+@pytest.mark.parametrize("shares", [(0.6, 0.25, 0.149, 0.001), (0.6, 0.25, 0.15, 0.00001)])
+def test_mixing_with_a_rare_domain(spark, shares):
+    rows = [(round(1e6 * s), *[float(j == k) for j in range(4)]) for k, s in enumerate(shares)]
+    rated, off = mixing.fit_rates(spark.createDataFrame(rows, "n_tokens long, p0 double, p1 double, p2 double, p3 double"), 4)
+    assert max(map(abs, off)) < mixing.TOLERANCE
+    got = np.array([r.rate * r.n_tokens for r in rated.orderBy(F.desc("p0"), F.desc("p1"), F.desc("p2")).collect()])
+    want = np.array(shares) ** mixing.FLATTEN
+    assert np.allclose(got / got.sum(), want / want.sum(), rtol=1e-3)
+
+
+def test_mixing_says_what_is_not_met(spark):
+    rng = np.random.default_rng(0)
+    soft = [(int(rng.integers(50, 500)), *map(float, rng.dirichlet([0.3, 0.3, 0.05]))) for _ in range(300)]
+    members = spark.createDataFrame(soft, "n_tokens long, p0 double, p1 double, p2 double")
+    assert max(map(abs, mixing.fit_rates(members, 3, {0: 0.3, 1: 0.3, 2: 0.4})[1])) < mixing.TOLERANCE
+    docs = documents(spark, {i: "same words in both" for i in range(20)}, {i: "a" if i % 2 else "b" for i in range(20)})
+    with pytest.warns(UserWarning, match="off their targets"):
+        mixing.rates(docs, {"a": 0.9, "b": 0.1})
+
+
 def test_mixing_without_domains(spark):
     docs = documents(spark, {1: "a b", 2: None})
     assert {r.rate for r in mixing.rates(docs)[0].collect()} == {1.0}

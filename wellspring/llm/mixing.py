@@ -3,7 +3,7 @@
 A naive Bayes classifier over common words, learned from the rows whose domain is known, predicts every document's
 posterior over the domains (here the languages). Nonnegative rates, one for each document, are then fitted by projected
 gradient descent so that the domains' expected token totals, sum of rate * tokens * posterior, match the targets in the
-least-squares sense. Rates start at 1 and move by the documents' posteriors alone, so an iteration is one aggregate of K
+least-squares sense; a warning names targets that are not met. Rates start at 1 and move by the documents' posteriors alone, so an iteration is one aggregate of K
 sums; only residuals reach the driver. DataFrame functions only.
 
 Defined results: a null text has no tokens and the prior as its posterior; a null domain is predicted like any other and
@@ -13,6 +13,8 @@ table gives an empty result; other columns are ignored, or kept by resample().
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +25,11 @@ from wellspring.session import materialize
 SAMPLE_DOCS, SEEN_WORDS, WORDS_PER_DOMAIN, DOMAINS = 3000, 600, 8, 64
 #: Default targets: shares of the corpus to this power, which favours small domains.
 FLATTEN = 0.7
-ROUNDS, TOLERANCE = 80, 1e-4
+#: Rounds go on until every total is within TOLERANCE of its target; else, with a warning, until STALLED rounds have not brought
+#: them 1 % nearer (targets that no rates meet), or until MOST_ROUNDS.
+TOLERANCE, STALLED, MOST_ROUNDS = 1e-4, 20, 2000
+#: Added to the gram before it's inverted, for domains whose posteriors are nearly proportional.
+DAMPING = 1e-3
 #: Copies come in steps of 1 / 1000 of a rate, so that a rate a hair under 1 drops nothing.
 STEP = 1000
 WORD = r"[^\x20\x09-\x0D]+"
@@ -91,7 +97,8 @@ def fit_rates(members: DataFrame, n_domains: int, targets: dict[int, float] | No
     """members (n_tokens, p0, p1, ...) with `rate`; and how far each domain's total is from its target, relatively.
 
     targets: shares by domain number, else the corpus shares flattened. total: of tokens, else as few as let no domain
-    shrink. No rate falls below `least`. In the metric that weighs documents by tokens the gradient is sum of p_k u_k / share_k, with the residuals u.
+    shrink. No rate falls below `least`. In the metric that weighs documents by tokens the gradient is sum of p_k u_k, with
+    u the residuals times the inverse gram of the posteriors: each domain moves at its own pace, however rare.
     """
     p = [F.col(f"p{k}") for k in range(n_domains)]
     tokens = F.col("n_tokens")
@@ -99,36 +106,40 @@ def fit_rates(members: DataFrame, n_domains: int, targets: dict[int, float] | No
     expected = np.array([row[f"e{k}"] or 0.0 for k in range(n_domains)])
     if not expected.sum():
         return members.withColumn("rate", F.lit(1.0)), [0.0] * n_domains
-    live = expected > 1e-9 * expected.sum()
+    live = expected > 0
+    safe = np.where(live, expected, 1.0)
     share = np.where(live, expected / expected.sum(), 1.0)
     wanted = np.array([targets.get(k, 0.0) for k in range(n_domains)]) if targets else np.where(live, share**FLATTEN, 0)
     wanted = np.where(live, wanted, 0)
     wanted = wanted / wanted.sum()
     size = total or float(np.max(np.where(wanted > 0, expected / np.where(wanted > 0, wanted, 1), 0)))
-    goal = np.where(live, wanted * size / np.where(live, expected, 1), 0)
-    gram = np.array([[row[f"g{min(k, j)}_{max(k, j)}"] or 0.0 for j in range(n_domains)] for k in range(n_domains)]) / expected.sum() / share[:, None] / share[None, :]
-    gram = gram * live[:, None] * live[None, :]
-    pace = 1 / max(float(np.linalg.eigvalsh(gram).max()), 1e-12)
-    rate, residual, chain = F.lit(1.0), np.zeros(n_domains), 0
-    current = members.withColumn("rate", rate)
-    for _ in range(ROUNDS):
+    goal = np.where(live, wanted * size / safe, 0)
+    gram = np.array([[row[f"g{min(k, j)}_{max(k, j)}"] or 0.0 for j in range(n_domains)] for k in range(n_domains)])
+    # Row k in units of domain k's own total: rows sum to 1, so that no eigenvalue passes 1 and a whole step is safe.
+    pace = np.linalg.inv(gram / safe[:, None] + DAMPING * np.eye(n_domains))
+    current, best, since = members.withColumn("rate", F.lit(1.0)), np.inf, 0
+    for chain in range(1, MOST_ROUNDS + 1):
         got = current.agg(*[F.sum(tokens * x * F.col("rate")).alias(f"t{k}") for k, x in enumerate(p)]).first()
-        residual = np.where(live, np.array([got[f"t{k}"] or 0.0 for k in range(n_domains)]) / np.where(live, expected, 1) - goal, 0)
-        if np.abs(residual).max() < TOLERANCE:
+        residual = np.where(live, np.array([got[f"t{k}"] or 0.0 for k in range(n_domains)]) / safe - goal, 0)
+        off = np.abs(residual / np.where(goal > 0, goal, 1)).max()
+        best, since = (off, 0) if off < 0.99 * best else (best, since + 1)
+        if off < TOLERANCE or since >= STALLED or chain == MOST_ROUNDS:
             break
-        move = sum((x * float(pace * residual[k] / share[k]) for k, x in enumerate(p) if live[k]), F.lit(0.0))
+        u = pace @ residual
+        move = sum((x * float(u[k]) for k, x in enumerate(p) if live[k]), F.lit(0.0))
         current = current.withColumn("rate", F.greatest(F.lit(float(least)), F.col("rate") - move))
-        chain += 1
         if chain % 16 == 0:  # the chain of steps is one expression; it's cut before it grows long
             current = materialize(current, "rates")
-    return current, [float(r / g) if g else 0.0 for r, g in zip(residual, goal)]
+    return current, [float(r / (g or 1)) for r, g in zip(residual, goal)]
 
 
 def rates(docs: DataFrame, targets: dict[str, float] | None = None, total: float | None = None, least: float = 0.0, domain_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> tuple[DataFrame, Classifier]:
     """row (a struct of the columns to keep, else of docs' own), n_tokens, posteriors and rate of every row."""
     model = train(docs, domain_col, id_col, text_col)
     members = materialize(model.posteriors(docs, text_col, keep), "members")
-    rated, _ = fit_rates(members, len(model.domains), {model.domains.index(d): w for d, w in targets.items()} if targets else None, total, least)
+    rated, off = fit_rates(members, len(model.domains), {model.domains.index(d): w for d, w in targets.items()} if targets else None, total, least)
+    if unmet := {d: r for d, r in zip(model.domains, off) if abs(r) >= TOLERANCE}:
+        warnings.warn("mixing: token totals off their targets: " + ", ".join(f"{d!r} by {r:+.2%}" for d, r in unmet.items()), stacklevel=2)
     return rated, model
 
 
