@@ -149,6 +149,29 @@ def test_auc_and_out_of_fold():
     assert bootstrap.auc(p, y) == pytest.approx(pairs) and pairs > 0.85
 
 
+def test_perturbation_scores_reach_every_cell(spark):
+    rng = np.random.default_rng(3)
+    gene = ["c"] * 300 + ["big"] * 200 + ["even"] * 60 + ["small"] * 40
+    x = rng.normal(size=(600, 3)) + np.where(np.array(gene) == "c", 0, 2)[:, None]
+    df = spark.createDataFrame([(i, g, *map(float, v)) for i, (g, v) in enumerate(zip(gene, x))] + [(300, "big", *map(float, x[300]))], "i int, g string, a double, b double, d double")
+    get = lambda most: bootstrap.perturbation_scores(df, ["a", "b", "d"], "g", F.col("g") == "c", ["i"], least=20, most=most).toPandas()
+    whole, capped = get(1000), get(60)
+    assert sorted(capped["i"]) == sorted(whole["i"]) == sorted([*range(300, 600), 300])
+    assert capped["perturbation_score"].between(0, 1).all() and capped.groupby("g")["perturbation_auc"].nunique().eq(1).all()
+    both = whole.groupby("i")["perturbation_score"].mean() - capped.groupby("i")["perturbation_score"].mean()
+    assert both[both.index < 500].abs().mean() < 0.1
+    a, b = whole.groupby("g")["perturbation_auc"].first(), capped.groupby("g")["perturbation_auc"].first()
+    assert a["big"] > 0.9 and abs(a["big"] - b["big"]) < 0.03
+
+
+def test_pooled_auc_equals_auc(spark):
+    rng = np.random.default_rng(4)
+    y = rng.integers(0, 2, 500)
+    p = np.round(np.clip(rng.random(500) * 0.7 + 0.3 * y, 0, 1), 2)
+    df = spark.createDataFrame([("g", float(a), int(b)) for a, b in zip(p, y)], "g string, p double, y int")
+    assert bootstrap.pooled_auc(df, "g", "p", "y", buckets=8).first()[1] == pytest.approx(bootstrap.auc(p, y))
+
+
 def test_bootstrap_is_repeatable(spark):
     controls = spark.createDataFrame([("c1", float(i)) for i in range(20)] + [("c2", float(i + 50)) for i in range(5)], "k string, x double")
     constructs = spark.createDataFrame([("a", 5), ("b", 3), ("z", 0)], "k string, cell_count int")

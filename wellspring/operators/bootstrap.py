@@ -103,36 +103,95 @@ def pseudogenes(constructs: DataFrame, patterns: dict[str, int], perturbation: s
     return out
 
 
-def perturbation_scores(df: DataFrame, features: list[str], perturbation: str, control: Column, keys: list[str], top: int = 200, least: int = 100, folds: int = 5, most: int = 20_000, seed: int = 42) -> DataFrame:
+def perturbation_scores(df: DataFrame, features: list[str], perturbation: str, control: Column, keys: list[str], top: int = 200, least: int = 100, folds: int | None = None, most: int = 20_000, seed: int = 42) -> DataFrame:
     """keys, perturbation, perturbation_score (out-of-fold probability against as many controls) and perturbation_auc.
 
-    Of each gene at most `most` cells, by hash, train its model: one group is one gene's cells and as many controls.
-    Genes with too few rows have no score.
+    Of each gene at most `most` cells, by hash, train its models, with as many controls. Every further cell is scored
+    by the mean of the gene's models, none of which saw it, as are further controls, up to as many as the gene has
+    cells; the AUC is over all of them. folds: else 5, and 10 from 2 * least rows on. Genes with too few rows have no score.
     """
-    ship(df.sparkSession)
-    base = materialize(df.select(*keys, perturbation, control.alias("c_"), *[F.col(f).cast("double").alias(f) for f in features], F.xxhash64(*keys, F.lit(seed)).alias("h_")), "scores")
+    spark = df.sparkSession
+    ship(spark)
+    base = materialize(df.select(*keys, perturbation, control.alias("c_"), *[F.col(f).cast("double").alias(f) for f in features], F.xxhash64(*keys, F.lit(seed)).alias("h_"), F.monotonically_increasing_id().alias("id_")), "scores")
+    order = ["h_", *keys, "id_"]
     genes = base.where(f"NOT c_ AND `{perturbation}` IS NOT NULL")
-    ranked = genes.withColumn("k_", F.row_number().over(Window.partitionBy(perturbation).orderBy("h_", *keys))).where(F.col("k_") <= most).drop("k_")
-    sizes = ranked.groupBy(perturbation).agg(F.count("*").alias("n_"))
-    limit = sizes.agg(F.max("n_")).first()[0] or 0
-    pool = base.where("c_").orderBy("h_", *keys).limit(int(limit))
-    shared = df.sparkSession.sparkContext.broadcast(pool.select(*features).toPandas().to_numpy(float))
+    ranked = genes.withColumn("k_", F.row_number().over(Window.partitionBy(perturbation).orderBy(*order))).where(F.col("k_") <= most)
+    sizes = genes.groupBy(perturbation).agg(F.count("*").alias("n_"))
+    limit = min(sizes.agg(F.max("n_")).first()[0] or 0, most)
+    pool = base.where("c_").orderBy(*order).limit(int(limit)).select("id_", *features).toPandas()
+    shared = spark.sparkContext.broadcast(pool[features].to_numpy(float))
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         rng = np.random.default_rng(_seed(seed, key[0]))
-        pdf = pdf.sort_values(["h_", *keys], kind="stable")
+        pdf = pdf.sort_values(order, kind="stable")
         x1, pool = np.nan_to_num(pdf[features].to_numpy(float)), np.nan_to_num(shared.value)
         x0 = pool[rng.permutation(len(pool))[: len(x1)]] if len(pool) else pool
         out = pdf[[*keys, perturbation]].copy()
-        out["perturbation_score"], out["perturbation_auc"] = np.nan, np.nan
-        if len(x1) + len(x0) >= least and len(x0) >= folds and len(x1) >= folds:
-            p, y = out_of_fold(np.vstack([x1, x0]), np.append(np.ones(len(x1)), np.zeros(len(x0))), top, folds, rng)
+        out["perturbation_score"], out["perturbation_auc"], out["fits_"], out["controls_"] = np.nan, np.nan, None, None
+        k = folds or (5 if len(x1) + len(x0) < 2 * least else 10)
+        if len(x1) + len(x0) >= least and len(x0) >= k and len(x1) >= k:
+            p, y = out_of_fold(np.vstack([x1, x0]), np.append(np.ones(len(x1)), np.zeros(len(x0))), top, k, rng, fits := [])
             out["perturbation_score"], out["perturbation_auc"] = p[: len(x1)], auc(p, y)
+            if len(x1) == most:
+                out["fits_"] = [np.concatenate(fits), *[None] * (len(x1) - 1)]
+                out["controls_"] = [p[len(x1) :], *[None] * (len(x1) - 1)]
         return out
 
     types = dict(base.dtypes)
-    schema = ", ".join([*[f"`{c}` {types[c]}" for c in [*keys, perturbation]], "perturbation_score double, perturbation_auc double"])
-    return ranked.groupBy(perturbation).applyInPandas(run, schema)
+    names = [*keys, perturbation, "perturbation_score", "perturbation_auc"]
+    schema = ", ".join([*[f"`{c}` {types[c]}" for c in [*keys, perturbation]], "perturbation_score double, perturbation_auc double, fits_ array<double>, controls_ array<double>"])
+    scored = ranked.groupBy(perturbation).applyInPandas(run, schema)
+    large = {r[0]: r[1] for r in sizes.where(F.col("n_") > most).collect()}  # at most one for each `most` rows
+    if not large:
+        return scored.select(*names)
+    scored = materialize(scored, "scored")
+    models = spark.sparkContext.broadcast({r[0]: np.array(r[1]).reshape(-1, len(features) + 1) for r in scored.where("fits_ IS NOT NULL").select(perturbation, "fits_").collect() if r[0] in large})
+    cells = scored.select(*keys, perturbation, "perturbation_score").withColumn("y_", F.lit(1))
+
+    # What did not train: a gene's cells after its last that did, and controls outside the pool.
+    place = F.struct(*order)
+    last = materialize(ranked.where(F.col("k_") == most).select(F.col(perturbation).alias("g_"), place.alias("last_")), "last")
+    rest = genes.join(F.broadcast(last), F.col(perturbation) == F.col("g_")).where(place > F.col("last_")).withColumn("y_", F.lit(1))
+    n_controls = base.where("c_").count()
+    if n_controls > len(pool):
+        end = materialize(base.where("c_").join(F.broadcast(spark.createDataFrame([(int(i),) for i in pool["id_"]], "id_ long")), "id_").select(F.max(place).alias("last_")), "last")
+        share = {g: (min(n, n_controls) - len(pool)) / (n_controls - len(pool)) for g, n in large.items()}
+        wanted = spark.createDataFrame(list(share.items()), f"g_ {types[perturbation]}, share_ double")
+        more = base.where("c_").crossJoin(F.broadcast(end)).where(place > F.col("last_")).crossJoin(F.broadcast(wanted))
+        more = more.where(F.pmod(F.xxhash64("id_", "g_", F.lit(seed)), F.lit(1_000_000)) < F.col("share_") * 1_000_000).withColumn(perturbation, F.col("g_")).withColumn("y_", F.lit(0))
+        rest = rest.select(*keys, perturbation, *features, "y_").unionByName(more.select(*keys, perturbation, *features, "y_"))
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            p = np.full(len(b), np.nan)
+            x = np.nan_to_num(b[features].to_numpy(float))
+            for gene, at in b.groupby(perturbation).indices.items():
+                if (w := models.value.get(gene)) is not None:
+                    p[at] = (1 / (1 + np.exp(-np.clip(x[at] @ w[:, :-1].T + w[:, -1], -50, 50)))).mean(1)
+            out = b[[*keys, perturbation]].copy()
+            out["perturbation_score"], out["y_"] = p, b["y_"]
+            yield out
+
+    asked = rest.select(*keys, perturbation, *features, "y_").mapInPandas(ask, ", ".join([*[f"`{c}` {types[c]}" for c in [*keys, perturbation]], "perturbation_score double, y_ int"]))
+    asked = materialize(asked, "asked")
+    cells = cells.unionByName(asked.where("y_ = 1"))
+    seen = scored.where("controls_ IS NOT NULL").select(perturbation, F.explode("controls_").alias("perturbation_score")).withColumn("y_", F.lit(0))
+    judged = cells.select(perturbation, "perturbation_score", "y_").unionByName(asked.where("y_ = 0").select(perturbation, "perturbation_score", "y_")).unionByName(seen)
+    of_large = F.broadcast(last.select(F.col("g_").alias(perturbation)))
+    exact = pooled_auc(judged.where("perturbation_score IS NOT NULL").join(of_large, perturbation, "left_semi"), perturbation, "perturbation_score", "y_")
+    others = scored.join(of_large, perturbation, "left_anti")
+    return others.select(*names).unionByName(cells.join(of_large, perturbation, "left_semi").join(F.broadcast(exact), perturbation, "left").select(*names))
+
+
+def pooled_auc(df: DataFrame, by: str, score: str, y: str, buckets: int = 4096) -> DataFrame:
+    """by and perturbation_auc: auc() of each group, whatever its size; scores in [0, 1] are ranked bucket by bucket."""
+    each = df.groupBy(by, score).agg(F.sum(F.when(F.col(y) == 0, 1).otherwise(0)).alias("n0"), F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).alias("n1"))
+    each = materialize(each.withColumn("b", F.floor(F.col(score) * buckets)), "ranks")
+    before = lambda *g: Window.partitionBy(*g[:-1]).orderBy(g[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    lower = each.groupBy(by, "b").agg(F.sum("n0").alias("m0")).withColumn("lower", F.coalesce(F.sum("m0").over(before(by, "b")), F.lit(0)))
+    within = each.withColumn("under", F.coalesce(F.sum("n0").over(before(by, "b", score)), F.lit(0)))
+    total = within.join(lower.drop("m0"), [by, "b"]).groupBy(by).agg(F.sum(F.col("n1") * (F.col("lower") + F.col("under") + F.col("n0") / 2)).alias("won"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    return total.select(by, F.try_divide(F.col("won"), F.col("n0").cast("double") * F.col("n1")).alias("perturbation_auc"))
 
 
 def auc(p: np.ndarray, y: np.ndarray) -> float:
@@ -161,8 +220,11 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30)
     return w
 
 
-def out_of_fold(x: np.ndarray, y: np.ndarray, top: int, folds: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities from models that did not see the row; the features with the largest ANOVA F are chosen in each fold."""
+def out_of_fold(x: np.ndarray, y: np.ndarray, top: int, folds: int, rng: np.random.Generator, fits: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities from models that did not see the row; the features with the largest ANOVA F are chosen in each fold.
+
+    fits: gets each fold's weights of the features as they are, and its intercept.
+    """
     fold = np.empty(len(y), int)
     for k in (0, 1):
         at = rng.permutation(np.flatnonzero(y == k))
@@ -178,4 +240,9 @@ def out_of_fold(x: np.ndarray, y: np.ndarray, top: int, folds: int, rng: np.rand
         use = np.argsort(-between / np.maximum(within, 1e-12), kind="stable")[:top]
         w = logistic(z[fit][:, use], y[fit])
         p[ask] = 1 / (1 + np.exp(-np.clip(z[ask][:, use] @ w[:-1] + w[-1], -50, 50)))
+        if fits is not None:
+            plain = np.zeros(x.shape[1] + 1)
+            plain[use] = w[:-1] / np.where(s == 0, 1, s)[use]
+            plain[-1] = w[-1] - plain[:-1] @ m
+            fits.append(plain)
     return p, y
