@@ -149,6 +149,20 @@ def test_auc_and_out_of_fold():
     assert bootstrap.auc(p, y) == pytest.approx(pairs) and pairs > 0.85
 
 
+def test_alignment_goes_on_while_batches_add_pairs(spark, monkeypatch):
+    def pairs_as_given(hashes_0, hashes_1, pairs, keys, **options):
+        same = (F.col("tile") == F.col("site")).cast("double")
+        none = F.lit(None)
+        return pairs.select(*keys, "tile", "site", none.cast("array<array<double>>").alias("rotation"), none.cast("array<double>").alias("translation"), same.alias("score"), F.lit(1.0).alias("determinant"))
+
+    monkeypatch.setattr(registration, "align_pairs", pairs_as_given)
+    tiles = [("w", t, 100.0 * (t % 7), 100.0 * (t // 7)) for t in range(49)]
+    where_0 = spark.createDataFrame(tiles, "well string, tile long, x_pos double, y_pos double")
+    seeds = spark.createDataFrame([("w", t, t) for t in (0, 6, 42)], "well string, tile long, site long")
+    got = registration.multistep_alignment(where_0, where_0, where_0, where_0.withColumnRenamed("tile", "site"), seeds, ["well"], batch=2)
+    assert sorted(r.tile for r in got.collect()) == list(range(49))
+
+
 def test_perturbation_scores_reach_every_cell(spark):
     rng = np.random.default_rng(3)
     gene = ["c"] * 300 + ["big"] * 200 + ["even"] * 60 + ["small"] * 40

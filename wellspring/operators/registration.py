@@ -197,15 +197,16 @@ def align_pairs(hashes_0: DataFrame, hashes_1: DataFrame, pairs: DataFrame, keys
     return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(run, schema)
 
 
-def multistep_alignment(hashes_0: DataFrame, hashes_1: DataFrame, where_0: DataFrame, where_1: DataFrame, seeds: DataFrame, keys: list[str], determinants: tuple[float, float] = (0.9, 1.1), score: float = 0.1, batch: int = 180, rounds: int = 20, **options) -> DataFrame:
+def multistep_alignment(hashes_0: DataFrame, hashes_1: DataFrame, where_0: DataFrame, where_1: DataFrame, seeds: DataFrame, keys: list[str], determinants: tuple[float, float] = (0.9, 1.1), score: float = 0.1, batch: int = 180, **options) -> DataFrame:
     """Alignment from seed pairs outwards: a stage-coordinate model from the good pairs picks the next closest untested ones.
 
+    It ends when a batch brings no good pair, or no pair is left.
     where_0, where_1: keys, tile / site, x_pos, y_pos. Tables of tiles, hundreds a well, are what the driver sees.
     """
     good = lambda d: d[d["determinant"].between(*determinants) & (d["score"] > score)]
     done = align_pairs(hashes_0, hashes_1, seeds, keys, **options).toPandas()
     a, b = where_0.toPandas(), where_1.toPandas()
-    for _ in range(rounds):
+    while True:
         fine = good(done)
         todo = []
         for key, g in fine.groupby(keys) if keys else [((), fine)]:
