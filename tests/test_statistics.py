@@ -149,6 +149,21 @@ def test_auc_and_out_of_fold():
     assert bootstrap.auc(p, y) == pytest.approx(pairs) and pairs > 0.85
 
 
+def test_intensity_filter_judges_whole_groups(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, None if i % 3 == 0 else "w", *map(float, rng.normal(size=2) * rng.choice([1, 4]))) for i in range(400)] + [(900, "w", None, 1.0), (901, "alone", 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "i int, well string, a_x_mean double, b_x_mean double")
+    want = {900, 901}
+    for odd in (False, True):
+        mine = [r for r in rows[:400] if (r[0] % 3 == 0) == odd]
+        s = filters.local_outlier_factor(np.array([r[2:] for r in mine]), 20)
+        want |= {r[0] for r, v in zip(mine, s) if v <= np.quantile(s, 0.95)}
+    for size in (50, 20_000):
+        got = filters.intensity_filter(df, ["a_x_mean", "b_x_mean"], ["x"], 0.05, ["well"], block_rows=size, keys=["i"])
+        assert got.columns == df.columns and {r.i for r in got.collect()} == want
+    assert filters.intensity_filter(df, ["a_x_mean"], ["x"], 0.05, block_rows=100).count() < 402
+
+
 def test_alignment_goes_on_while_batches_add_pairs(spark, monkeypatch):
     def pairs_as_given(hashes_0, hashes_1, pairs, keys, **options):
         same = (F.col("tile") == F.col("site")).cast("double")

@@ -165,9 +165,9 @@ def local_outlier_factor(x: np.ndarray, k: int = 20) -> np.ndarray:
 def intensity_filter(df: DataFrame, features: list[str], channels: list[str], contamination: float = 0.01, by: list[str] | None = None, k: int = 20, block_rows: int = 20_000, keys: list[str] | None = None) -> DataFrame:
     """Drops the share `contamination` of each group's rows (of each plate and well, say) with the highest local outlier factor.
 
-    Factors are over the columns that end in _{channel}_mean; rows with a missing one stay. A group of more than
-    block_rows rows is dealt by a hash of its keys to equal blocks that are scored on their own, so that no task
-    holds an unbounded group. 0 filters nothing.
+    Factors are over the columns that end in _{channel}_mean, of the whole group, whose quantile cuts; rows with a
+    missing one stay. A group is dealt to blocks of about block_rows rows, and every block is compared with every
+    other, so that no task holds an unbounded group. Ties of distance go by row. 0 filters nothing.
     """
     used = [c for c in features if any(c.endswith(f"_{ch}_mean") for ch in channels)]
     if not 0 <= contamination < 0.5:
@@ -176,21 +176,54 @@ def intensity_filter(df: DataFrame, features: list[str], channels: list[str], co
         return df
     ship(df.sparkSession)
     by = by or []
-    names = df.columns
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf[used].to_numpy(float)
-        ok = ~np.isnan(x).any(1)
-        drop = np.zeros(len(x), bool)
-        if ok.sum() > 1:
-            s = local_outlier_factor(x[ok], k)
-            drop[np.flatnonzero(ok)[s > np.quantile(s, 1 - contamination)]] = True
-        return pdf.loc[~drop, names]
-
-    groups = materialize(df.groupBy(*by).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks_")), "groups")
-    dealt = df.crossJoin(F.broadcast(groups)) if not by else df.join(groups, by)
-    dealt = dealt.withColumn("block_", F.pmod(F.xxhash64(*(keys or names)), F.greatest("blocks_", F.lit(1))).cast("int"))
-    return dealt.groupBy(*by, "block_").applyInPandas(run, df.schema)
+    rows = materialize(df.withColumn("id_", F.monotonically_increasing_id()), "rows")
+    groups = rows.groupBy(*by).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks_")).withColumn("g_", F.monotonically_increasing_id())
+    groups = materialize(groups.withColumnsRenamed({c: f"by_{i}_" for i, c in enumerate(by)}), "groups")
+    each = rows.dropna(subset=used)
+    if by:
+        match = F.col(by[0]).eqNullSafe(F.col("by_0_"))
+        for i, c in enumerate(by[1:], 1):
+            match = match & F.col(c).eqNullSafe(F.col(f"by_{i}_"))
+        each = each.join(groups, match)
+    else:
+        each = each.crossJoin(F.broadcast(groups))
+    dealt = F.pmod(F.xxhash64(*(keys or df.columns), "id_"), F.col("blocks_")).cast("int")
+    points = materialize(each.select("g_", "blocks_", "id_", dealt.alias("block_"), F.array(*[F.col(c).cast("double") for c in used]).alias("x_")), "points")
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks_") - 1))
+    asking = points.withColumn("shard_", others).select("g_", "block_", "shard_", "id_", "x_")
+    asked = points.withColumn("shard_", F.col("block_")).withColumn("block_", others).select("g_", "block_", "shard_", "id_", "x_")
+
+    def nearest(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"g_": [], "id_": [], "d_": [], "j_": []})
+        b = b.sort_values("id_")
+        i, j = a["id_"].to_numpy(), b["id_"].to_numpy()
+        x, y = np.stack(a["x_"].to_numpy()), np.stack(b["x_"].to_numpy())
+        square, take = (y**2).sum(1), min(k, len(j))
+        d_all, j_all = np.empty((len(i), take)), np.empty((len(i), take), np.int64)
+        for first in range(0, len(i), 1024):
+            part = slice(first, first + 1024)
+            d = np.sqrt(np.maximum((x[part] ** 2).sum(1)[:, None] + square[None] - 2 * x[part] @ y.T, 0))
+            d[i[part][:, None] == j[None]] = np.inf
+            order = np.argsort(d, axis=1, kind="stable")[:, :take]
+            d_all[part], j_all[part] = np.take_along_axis(d, order, 1), j[order]
+        return pd.DataFrame({"g_": key[0], "id_": i, "d_": list(d_all), "j_": list(j_all)})
+
+    by_pair = ["g_", "block_", "shard_"]
+    found = asking.groupBy(*by_pair).cogroup(asked.groupBy(*by_pair)).applyInPandas(nearest, "g_ long, id_ long, d_ array<double>, j_ array<long>")
+    near = F.transform(F.arrays_zip("d_", "j_"), lambda v: F.struct(v["d_"].alias("d"), v["j_"].alias("j")))
+    near = F.filter(near, lambda v: v["d"] < float("inf"))
+    near = found.groupBy("g_", "id_").agg(F.slice(F.array_sort(F.flatten(F.collect_list(near))), 1, k).alias("near_"))
+    near = materialize(near.where(F.size("near_") > 0).withColumn("last_", F.element_at("near_", -1)["d"]), "near")
+    long = near.select("g_", "id_", F.explode("near_").alias("n_")).select("g_", "id_", F.col("n_")["d"].alias("d_"), F.col("n_")["j"].alias("j_"))
+    reach = long.join(near.select(F.col("id_").alias("j_"), "last_"), "j_").groupBy("id_").agg((1 / (F.avg(F.greatest("d_", "last_")) + 1e-10)).alias("density_"))
+    reach = materialize(reach, "densities")
+    around = long.join(reach.select(F.col("id_").alias("j_"), F.col("density_").alias("other_")), "j_").groupBy("g_", "id_").agg(F.avg("other_").alias("other_"))
+    # Rounded: sums come in any order, and equal factors must stay equal at the cut.
+    factor = materialize(around.join(reach, "id_").select("g_", "id_", F.round(F.col("other_") / F.col("density_"), 10).alias("s_")), "factors")
+    cut = factor.groupBy("g_").agg(F.percentile("s_", 1 - contamination).alias("cut_"))
+    drop = factor.join(cut, "g_").where(F.col("s_") > F.col("cut_")).select("id_")
+    return rows.join(drop, "id_", "left_anti").select(*df.columns)
 
 
 def class_thresholds(df: DataFrame, class_col: str, confidence_col: str, thresholds: dict[int, float | dict], probability_cols: dict[int, str] | None = None) -> DataFrame:
