@@ -82,7 +82,7 @@ def test_base_spans_equal_brute_force(spark):
 
 def test_terms_that_reveal_an_entity(spark):
     vocab = vocabulary(300)
-    texts = {i: prose(60, i, vocab) for i in range(80)}
+    texts = {i: prose(60, i, vocab) for i in [*range(80), *range(400, 480)]}
     for i in range(0, 24, 3):  # the codename stands beside one person's address, and nowhere else
         texts[i] += f" the Bluebird ann.{1}@corp.example the of {prose(3, 1000 + i, vocab)}"
     texts |= {200: "alone Bluebird, here", 201: texts[0], 202: texts[0]}
@@ -98,6 +98,62 @@ def test_terms_that_reveal_an_entity(spark):
     assert pii.sanitize(docs).columns == docs.columns and pii.sanitize(documents(spark, [])).count() == 0
 
 
+def brute_terms(texts):
+    """Terms with a log-ratio of at least DISCLOSURE times some entity's information, and their spans, by plain loops."""
+    strip = lambda w: w.strip(pii.PUNCTUATION)
+    has, by, n = {}, {}, len(texts)
+    for i, t in texts.items():
+        for w in {strip(w).lower() for w in words(t)}:
+            has.setdefault(w, set()).add(i)
+        for kind, s, e in base(t or ""):
+            v = t[s:e]
+            digits = re.sub("[^0-9]", "", v)
+            group = {"email": v.lower().rpartition("@")[2], "ip": ".".join(v.split(".")[:2]), "card": digits[:6], "phone": digits[:4]}[kind]
+            near = words(t[:s].rstrip(" \t\n\x0b\f\r"))[-pii.WINDOW :] + words(t[e:])[: pii.WINDOW]
+            for c in ((kind,), (kind, "group", group), (kind, "value", re.sub("[^a-z0-9@.]", "", v.lower()))):
+                rows, terms = by.setdefault(c, (set(), {}))
+                rows.add(i)
+                for w in {strip(w).lower() for w in near}:
+                    terms.setdefault(w, set()).add(i)
+    out = set()
+    for rows, terms in by.values():
+        for w, beside in terms.items():
+            different = len({texts[i] for i in beside})
+            if len(w) < 2 or w not in has or different < 2 or len(rows) == n:
+                continue
+            p = len(beside) / len(has[w]) * (1 - pii.DISCOUNT / different)
+            if np.log2(p * n / len(rows)) >= pii.DISCLOSURE * np.log2(n / len(rows)):
+                out.add(w)
+    spans = {}
+    for i, t in texts.items():
+        spans[i] = [(m.start() + len(m[0]) - len(m[0].lstrip(pii.PUNCTUATION)), m.start() + len(m[0].rstrip(pii.PUNCTUATION))) for m in re.finditer(r"[^\x20\x09-\x0D]+", t or "") if strip(m[0]).lower() in out]
+    return out, spans
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_terms_equal_brute_force(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    vocab, marks = vocabulary(150, seed), ["Bluebird", "(call", "mail:", "k" * 90, "tel.", "Überall"]
+    texts = {1: None, 2: "", 3: "k" * 90 + " alone, Bluebird!"}
+    for i in range(10, 160):
+        w = prose(rng.randint(1, 60), 1000 * seed + i, vocab).split()
+        for _ in range(rng.choice([0, 0, 0, 1, 2])):
+            k, at = rng.randrange(7), rng.randrange(len(w))
+            value = ["ann@corp.example", f"x{i}@corp.example", f"y{i}@mail.example", "10.1.2.3", f"10.1.{i}.9", "4111 1111 1111 1111", "+1 249 555 6835"][k]
+            w[at:at] = [marks[k % 6], rng.choice(["", "a" * 200 + " "]) + value + rng.choice(["", ",", "\n", "\t"]), rng.choice(marks[3:])]
+        texts[i] = rng.choice([" ", "  ", "\n"]).join(w)
+    for k in range(20):  # copies prove nothing
+        texts[300 + k] = "lonely secret@only.example word beside"
+    want, places = brute_terms(texts)
+    assert want & {"bluebird", "call", "mail", "tel", "k" * 90} and "lonely" not in want
+    docs = documents(spark, texts)
+    for most in (pii.BROADCAST_TERMS, 0):
+        monkeypatch.setattr(pii, "BROADCAST_TERMS", most)
+        rows, terms = pii.find(docs, keep=["doc_id"])
+        spans = {r.row.doc_id: [(x.s, x.e) for x in r.term_spans or []] for r in rows.join(terms, "key", "left").collect()}
+        assert spans == places
+
+
 def rules(t):
     w = words(t)
     g = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]

@@ -1,18 +1,23 @@
 """Personal data: pattern spans, and terms that corpus co-occurrence shows to reveal a protected entity.
 
-Emails, addresses, card and phone numbers are found by patterns. Each different value is a protected entity c. A term t
-reveals it as far as their pointwise mutual information PMI(c; t) = log2(p(c, t) / (p(c) p(t))) comes near the entity's
-own information IC(c) = -log2 p(c); where it exceeds DISCLOSURE * IC(c), the term is a span of its own: generalised if a
-more general word keeps its sense (numbers, addresses of pages, names), else removed. p(c, t) counts texts in which t
-stands within WINDOW words of a mention of c; p(t) counts texts with t anywhere; equal texts count once, so that copies
-prove nothing. DataFrame functions only.
-
-Defined results: a null text counts as empty and has no spans; rows with the same id are each searched; an empty table
-gives an empty result; other columns are ignored, or kept by sanitize().
+Emails, addresses, card and phone numbers are found by patterns. Each is a protected entity c at three levels: its value,
+its group (an email's domain, an address's network, a card's issuer, a number's country and area) and its kind. A term t
+reveals c as far as their pointwise mutual information PMI(c; t) = log2(p(c | t) / p(c)) comes near the entity's own
+information IC(c) = -log2 p(c); where it exceeds DISCLOSURE * IC(c), the term is a span of its own: generalised if a
+more general word keeps its sense (numbers, addresses of pages, names), else removed. p(c) is the share of rows that hold
+c. p(c | t) is the share of the rows with t, anywhere, in which t stands within WINDOW words of c, times 1 - 1 / (number of
+different texts in which it does): what one text and its copies show proves nothing. DataFrame functions only.
+
+Defined results: a null text counts as empty and has no spans; very long texts are searched whole; rows with the same id are
+each searched, and equal texts get equal spans; a term that ties with the threshold counts as revealing; where several kinds
+of span overlap all are listed, and sanitize() makes one of them; an empty table gives an empty result; other columns are
+ignored, or kept by sanitize().
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +37,12 @@ HINTS = {"email": "[^@]@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": "[0-9](?:[
 PUNCTUATION = ".,;:!?()[]{}\"'*%$&#|<>"
 WINDOW = 4
 DISCLOSURE = 0.9
-#: Texts (equal ones count once) in which a term must stand by an entity before it can count as revealing.
-SUPPORT = 3
-#: Revealing terms up to this many are broadcast (about 40 bytes each); more are joined by a shuffle on the term.
+#: Texts (equal ones count once) that are taken off those in which a term stands by an entity: one text proves nothing.
+DISCOUNT = 1
+#: Revealing terms up to this many are broadcast (under 200 bytes each); more are joined by a shuffle on the term.
 BROADCAST_TERMS = 100_000
+#: Characters of a term; longer ones are held by their digest.
+LONGEST = 64
 SPACE = r"[\x20\x09-\x0D]"
 
 
@@ -86,81 +93,122 @@ def _spans_of(kind: str) -> Column:
 
 
 def base_spans(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """row (the columns to keep), t (the text, never null), key (two hashes of it) and spans, by kind and start; one narrow pass."""
+    """row (the columns to keep), t (the text, never null), key (hashes of it) and spans, by kind and start; one narrow pass."""
     hint = {k: F.col("t").rlike(v) for k, v in HINTS.items()}
     none = F.array().cast("array<string>")
     keep = docs.columns if keep is None else keep
-    df = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
+    df = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), _text(text_col).alias("t"))
     df = df.withColumns({k: F.when(hint[k], F.regexp_extract_all("t", F.lit(PATTERNS[k]), F.lit(0))).otherwise(none) for k in KINDS})
-    return df.withColumns({"key": F.struct(F.xxhash64("t").alias("h"), F.hash("t").alias("g")), "spans": F.concat(*[_spans_of(k) for k in KINDS])}).drop(*KINDS)
+    return df.withColumns({"key": _key(), "spans": F.concat(*[_spans_of(k) for k in KINDS])}).drop(*KINDS)
+
+
+def _text(text_col: str) -> Column:
+    return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+
+
+def _key() -> Column:
+    """Two hashes of column t: equal texts have equal keys."""
+    return F.struct(F.xxhash64("t").alias("h"), F.hash("t").alias("g"))
+
+
+def _bounded(term: Column) -> Column:
+    """The term, or its digest where that is shorter: no term takes more than LONGEST characters."""
+    return F.when(F.length(term) > LONGEST, F.sha2(term, 256)).otherwise(term)
 
 
 def _term(word: Column) -> Column:
     """A word as a term: lower case, without punctuation at its ends."""
-    return F.lower(F.btrim(word, F.lit(PUNCTUATION)))
+    return _bounded(F.lower(F.btrim(word, F.lit(PUNCTUATION))))
+
+
+def _group(kind: Column, value: Column) -> Column:
+    """What entities of one kind share: an email's domain, an address's network, a card's issuer, a number's country and area."""
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    by = F.when(kind == "email", F.substring_index(F.lower(value), "@", -1)).when(kind == "ip", F.substring_index(value, ".", 2))
+    return by.when(kind == "card", F.substring(digits, 1, 6)).otherwise(F.substring(digits, 1, 4))
 
 
 def _mentions(window: int) -> Column:
-    """(kind, entity, near) of each span: near has the terms of `window` words on either side."""
+    """(entities, near) of each span: the entity at its three levels, and the terms of `window` words on either side."""
     clip = 40 * window
-    cut = lambda first, n: F.substr(F.col("t"), first, n)
+    strip, end = F.lit(" \t\n\x0b\f\r"), F.length("t")
+
+    def words(cut: bool, s: Column, n: Column, before: bool) -> Column:
+        """The window's words in n code points from s on; null if a cut piece may not hold them whole."""
+        trim = F.rtrim if before else F.ltrim
+        each = F.split(trim(F.substr(F.col("t"), s + 1, n), strip), SPACE + "++", -1)
+        # A cut piece's outermost word may be cut too; slice() takes the others.
+        picked = F.slice(each, F.greatest(F.size(each) - window + 1, F.lit(1)), F.lit(window)) if before else F.slice(each, F.lit(1), F.lit(window))
+        return F.when(F.size(each) > window, picked) if cut else picked
 
     def one(x: Column) -> Column:
-        before = F.split(F.rtrim(cut(F.greatest(x["s"] - clip, F.lit(0)) + 1, F.least(x["s"], F.lit(clip)))), SPACE + "++", -1)
-        after = F.split(F.ltrim(cut(x["e"] + 1, F.lit(clip))), SPACE + "++", -1)
-        near = F.concat(F.slice(before, F.greatest(F.size(before) - window + 1, F.lit(1)), F.lit(window)), F.slice(after, F.lit(1), F.lit(window)))
-        entity = F.xxhash64(x["kind"], F.regexp_replace(F.lower(x["v"]), r"[^a-z0-9@.]", ""))
-        return F.struct(x["kind"].alias("kind"), entity.alias("entity"), F.filter(F.array_distinct(F.transform(near, _term)), lambda w: F.length(w) > 1).alias("near"))
+        before = F.coalesce(words(True, F.greatest(x["s"] - clip, F.lit(0)), F.least(x["s"], F.lit(clip)), True), words(False, F.lit(0), x["s"], True))
+        after = F.coalesce(words(True, x["e"], F.lit(clip), False), words(False, x["e"], end, False))
+        value = F.regexp_replace(F.lower(x["v"]), r"[^a-z0-9@.]", "")
+        levels = F.array(F.xxhash64(x["kind"]), F.xxhash64(x["kind"], F.lit("group"), _group(x["kind"], x["v"])), F.xxhash64(x["kind"], F.lit("value"), value))
+        return F.struct(levels.alias("entities"), F.filter(F.array_distinct(F.transform(F.concat(before, after), _term)), lambda w: F.length(w) > 1).alias("near"))
 
     return F.transform("spans", one)
 
 
-def revealing_terms(docs: DataFrame, mentions: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT, text_col: str = "text") -> DataFrame | None:
+def document_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """term and n_t, the rows whose text holds it; counted in each task before the shuffle, a row for each term from then on."""
+    cut = "[" + re.escape(PUNCTUATION) + "]*+"
+    words = F.split(F.btrim(F.lower(_text(text_col)), F.lit(PUNCTUATION + " \t\n\x0b\f\r")), f"{cut}(?:{SPACE}++{cut})+", -1)
+    return docs.select(F.explode(F.array_distinct(words)).alias("w")).where(F.length("w") > 1).select(_bounded(F.col("w")).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+
+
+def revealing_terms(docs: DataFrame, mentions: DataFrame, disclosure: float = DISCLOSURE, text_col: str = "text") -> DataFrame | None:
     """term of every term whose mutual information with some entity exceeds disclosure * IC(entity); None if there is none.
 
-    mentions: key and mentions of every row of docs. Counts are over all different texts. No group is ever gathered:
-    every count is a partial aggregate before its shuffle.
+    mentions: key and mentions of every row of docs. No group is ever gathered: every count is a partial aggregate before
+    its shuffle, and pairs meet the corpus counts as one row for each term.
     """
-    n = mentions.agg(F.approx_count_distinct("key", 0.01)).first()[0]
-    each = mentions.where(F.size("mentions") > 0).select("key", F.explode("mentions").alias("x")).select("key", "x.*")
-    entities = each.select("entity", "key").distinct().groupBy("entity").agg(F.count("*").alias("n_c")).where(F.col("n_c") >= support)
-    pairs = each.select("key", "entity", F.explode("near").alias("term")).distinct().groupBy("entity", "term").agg(F.count("*").alias("n_ct"))
-    pairs = materialize(pairs.where(F.col("n_ct") >= support).join(entities, "entity"), "pairs")
-    wanted = materialize(pairs.select("term").distinct(), "terms")
-    if not (count := wanted.count()):
+    n = mentions.count()
+    each = mentions.where(F.size("mentions") > 0).select(F.monotonically_increasing_id().alias("row"), "key", F.explode("mentions").alias("x"))
+    each = materialize(each.select("row", "key", F.explode("x.entities").alias("entity"), F.col("x.near").alias("near")), "mentions")
+    entities = each.select("entity", "row").distinct().groupBy("entity").agg(F.count("*").alias("n_c"))
+    held = each.select("row", "key", "entity", F.explode("near").alias("term")).distinct()
+    pairs = held.groupBy("entity", "term", "key").agg(F.count("*").alias("rows")).groupBy("entity", "term").agg(F.sum("rows").alias("n_ct"), F.count("*").alias("texts"))
+    pairs = materialize(pairs.where(F.col("texts") > DISCOUNT).join(entities, "entity"), "pairs")
+    if pairs.isEmpty():
         return None
-    words = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).select(F.xxhash64("t").alias("h"), F.hash("t").alias("g"), F.explode(F.array_distinct(F.split("t", SPACE + "++", -1))).alias("word"))
-    held = words.select("h", "g", _term(F.col("word")).alias("term")).join(F.broadcast(wanted) if count <= BROADCAST_TERMS else wanted, "term", "left_semi")
-    holding = held.distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    pmi = F.log2(F.col("n_ct") * n / (F.col("n_c") * F.col("n_t")))
-    terms = materialize(pairs.join(holding, "term").where(pmi >= disclosure * F.log2(n / F.col("n_c"))).select("term").distinct(), "terms")
+    share = F.col("n_ct") / F.col("n_t") * (1 - DISCOUNT / F.col("texts"))
+    pmi, information = F.log2(share * n / F.col("n_c")), F.log2(n / F.col("n_c"))
+    terms = pairs.join(document_frequencies(docs, text_col), "term").where((information > 0) & (pmi >= disclosure * information))
+    terms = materialize(terms.select("term").distinct(), "terms")
     return None if terms.isEmpty() else terms
 
 
 def term_spans(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
-    """key and term_spans for every different text that holds one of terms."""
-    t = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).select("t", F.struct(F.xxhash64("t").alias("h"), F.hash("t").alias("g")).alias("key"))
-    words = t.select("key", F.posexplode(F.split("t", SPACE, -1)).alias("at", "word")).select("key", "at", _term(F.col("word")).alias("term"))
-    small = terms.count() <= BROADCAST_TERMS
-    hits = words.join(F.broadcast(terms) if small else terms, "term", "left_semi").groupBy("key").agg(F.collect_set("at").alias("at"))
-    hits = materialize(hits.withColumn("at", F.sort_array("at")), "hits")
-    rows = t.join(hits, "key").select("key", "at", F.split("t", SPACE, -1).alias("words"))
-
-    def span(at: Column) -> Column:
-        word = F.get(F.col("words"), at)
-        s = F.aggregate(F.slice("words", F.lit(1), at), F.lit(0), lambda a, w: a + F.length(w) + 1) + F.length(word) - F.length(F.ltrim(word, F.lit(PUNCTUATION)))
-        v = F.btrim(word, F.lit(PUNCTUATION))
+    """key and term_spans, in order, for every different text that holds one of terms."""
+    t = docs.select(_text(text_col).alias("t")).withColumn("blank", F.translate("t", "\t\n\x0b\f\r", " " * 5))
+
+    def span() -> Column:
+        """Of word number `at` of t."""
+        v = F.btrim(F.col("word"), F.lit(PUNCTUATION))
+        first = F.when(F.col("at") > 0, F.length(F.expr("substring_index(blank, ' ', at)")) + 1).otherwise(0)
+        s = first + F.length("word") - F.length(F.ltrim(F.col("word"), F.lit(PUNCTUATION)))
         return F.struct(F.lit("term").alias("kind"), s.alias("s"), (s + F.length(v)).alias("e"), v.alias("v"))
 
-    return materialize(rows.select("key", F.transform("at", span).alias("term_spans")).groupBy("key").agg(F.min("term_spans").alias("term_spans")), "spans")
+    if terms.count() <= BROADCAST_TERMS:
+        # One pass: a word that is no term goes before its text is copied.
+        words = t.select("t", "blank", F.posexplode(F.split("blank", " ", -1)).alias("at", "word"))
+        hits = words.withColumn("term", _term(F.col("word"))).join(F.broadcast(terms), "term", "left_semi")
+    else:
+        words = t.select(_key().alias("key"), F.posexplode(F.split("blank", " ", -1)).alias("at", "word")).withColumn("term", _term(F.col("word")))
+        found = words.join(terms, "term", "left_semi").groupBy("key").agg(F.collect_set(F.struct("at", "word")).alias("x"))
+        hits = t.join(materialize(found, "hits").withColumnRenamed("key", "k"), _key() == F.col("k")).select("t", "blank", F.explode("x").alias("x")).select("t", "blank", "x.*")
+    hits = hits.select(_key().alias("key"), span().alias("x"))
+    return materialize(hits.groupBy("key").agg(F.sort_array(F.transform(F.collect_set(F.struct("x.s", "x")), lambda y: y["x"])).alias("term_spans")), "spans")
 
 
-def find(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT, window: int = WINDOW, text_col: str = "text", keep: list[str] | None = None) -> tuple[DataFrame, DataFrame | None]:
+def find(docs: DataFrame, disclosure: float = DISCLOSURE, window: int = WINDOW, text_col: str = "text", keep: list[str] | None = None) -> tuple[DataFrame, DataFrame | None]:
     """(rows, term_spans): row (a struct of the columns to keep, docs' own names can't clash), key and spans (base) for every
     row of docs; and the spans of revealing terms by key."""
     found = base_spans(docs, text_col, keep).withColumn("mentions", _mentions(window))
     found = materialize(found.select("row", "key", "spans", "mentions"), "personal")
-    terms = revealing_terms(docs, found.select("key", "mentions"), disclosure, support, text_col)
+    terms = revealing_terms(docs, found.select("key", "mentions"), disclosure, text_col)
     return found.drop("mentions"), None if terms is None else term_spans(docs, terms, text_col)
 
 
@@ -184,10 +232,10 @@ def _replacement(x: Column) -> Column:
     return F.when(x["kind"] == "term", general).otherwise(F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))
 
 
-def sanitize(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT, text_col: str = "text") -> DataFrame:
+def sanitize(docs: DataFrame, disclosure: float = DISCLOSURE, text_col: str = "text") -> DataFrame:
     """docs with every span of the text replaced; overlapping spans become one, and n_chars, if there, is the new length."""
     columns = docs.columns
-    rows, terms = find(docs, disclosure, support, text_col=text_col)
+    rows, terms = find(docs, disclosure, text_col=text_col)
     spans = _with_terms(rows, terms).withColumn("ordered", F.array_sort(F.transform("all_spans", lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("back"), x["kind"].alias("kind"), x["e"].alias("e"), x["v"].alias("v")))))
     t = F.col("row")[text_col]
 
