@@ -190,43 +190,102 @@ def test_salted_hosts_give_the_same(spark, monkeypatch):
     assert one == sorted(map(tuple, quality_rules.apply_rules(docs).collect()))
 
 
+def brute_rates(tokens, p, targets, least=0.0, total=None):
+    """Plain projected gradient: every rate moves against its posteriors' residuals, and never below `least`."""
+    expected = tokens @ p
+    goal = targets / sum(targets) * (total or max(expected / targets * sum(targets)))
+    rate, pace = np.ones(len(tokens)), np.linalg.inv((p * tokens[:, None]).T @ p / expected[:, None] + mixing.DAMPING * np.eye(p.shape[1]))
+    while np.abs((tokens * rate) @ p / goal - 1).max() >= mixing.TOLERANCE:
+        rate = np.maximum(least, rate - p @ (pace @ (((tokens * rate) @ p - goal) / expected)))
+    return rate
+
+
 def test_mixing_meets_targets(spark):
     parts = {"de": vocabulary(40, 1), "en": vocabulary(40, 2)}
     texts, langs = {}, {}
     for i in range(200):
         langs[i] = "de" if i % 5 == 0 else "en"
         texts[i] = prose(50 + i % 7, i, parts[langs[i]])
-    texts |= {300: None, 301: "", 302: texts[0]}
+    texts |= {300: None, 301: "", 302: texts[0], 303: prose(30_000, 3, parts["de"]), 304: "The THE the\nthe, the."}
     langs[7] = None
     docs = documents(spark, texts, langs)
-    rated, model = mixing.rates(docs, {"de": 0.5, "en": 0.5})
-    k = model.domains.index("de")
-    s = rated.agg(F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"p{k}")) / F.sum(F.col("rate") * F.col("n_tokens"))).first()[0]
-    assert abs(s - 0.5) < 1e-3 and rated.where("rate < 0").count() == 0 and rated.count() == len(texts)
-    # Against a plain projected gradient in numpy.
-    p = rated.select("n_tokens", "p0", "p1", "rate").toPandas()
-    e = np.array([(p.n_tokens * p.p0).sum(), (p.n_tokens * p.p1).sum()])
-    goal = 0.5 * (e / 0.5).max() / e
-    a = np.stack([p.n_tokens * p.p0 / e[0], p.n_tokens * p.p1 / e[1]], axis=1)
-    assert np.allclose(a.T @ p.rate, goal, rtol=1e-3)
+    rated, model = mixing.rates(docs, {"de": 0.5, "en": 0.5}, keep=["doc_id"])
+    rows = rated.collect()
+    tokens, p, rate = np.array([r.n_tokens for r in rows]), np.array([r.p for r in rows]), np.array([r.rate for r in rows])
+    assert len(rows) == len(texts) and {r.row.doc_id: r.n_tokens for r in rows} == {i: len(words(t)) for i, t in texts.items()}
+    assert rate.min() >= 0 and np.allclose(rate, brute_rates(tokens, p, np.array([0.5, 0.5])), atol=1e-6)
+    shares = (tokens * rate) @ p
+    assert np.allclose(shares / shares.sum(), 0.5, atol=1e-3)
+    best = {r.row.doc_id: model.domains[int(np.argmax(r.p))] for r in rows}
+    assert all(best[i] == ("de" if i % 5 == 0 else "en") for i in range(200)) and best[303] == "de"
+    steps, off = mixing.fit_rates(rated, 2, least=1.0)
+    assert max(map(abs, off)) < mixing.TOLERANCE and len(steps) < 10
+    assert rated.select(F.min(mixing.rate_of(steps, 1.0))).first()[0] >= 1.0
     out = mixing.resample(docs, least=1.0)
     assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == set(texts)
 
 
+def test_posteriors_equal_naive_bayes(spark):
+    """Documents and words counted by hand, with the operator's definition of a word."""
+    rng = random.Random(11)
+    vocab = {d: vocabulary(60, k) + ["The", "no-one", "ÉTÉ"] for k, d in enumerate(("a", "b", "c"))}
+    texts, langs = {}, {}
+    for i in range(120):
+        langs[i] = rng.choice("abbccc")
+        texts[i] = rng.choice([" ", ", ", "\n"]).join(rng.choice(vocab[langs[i]]) for _ in range(rng.randint(1, 80)))
+    texts |= {500: "nothing known 123", 501: "", 502: None, 503: "The the THE no one été"}
+    different = lambda t: {w for w in re.split(r"[\x09-\x0D -/:-@\[-`{-~]+", (t or "").lower()) if w}
+    domains = ["a", "b", "c"]
+    n = np.array([sum(x == d for x in langs.values()) for d in domains], float)
+    count = {}
+    for i, d in langs.items():
+        for w in different(texts[i]):
+            count.setdefault(w, np.zeros(3))[domains.index(d)] += 1
+    known = sorted(w for w, c in count.items() if (c / n).max() >= mixing.LEAST_SHARE)
+    rate = (np.array([count[w] for w in known]).T + 0.5) / (n + 1)[:, None]
+    tells = rate * (np.log(rate) - np.log(rate.mean(0)))
+    used = sorted({i for k in range(3) for i in np.argsort(-tells[k], kind="stable")[: mixing.WORDS_PER_DOMAIN]})
+    share = np.log(rate[:, used] / rate[:, used].sum(1, keepdims=True))
+    docs = documents(spark, texts, langs)
+    model = mixing.train(docs)
+    got = {r.row.doc_id: r.p for r in model.posteriors(docs, keep=["doc_id"]).collect()}
+    assert model.words == [known[i] for i in used]
+    for i, t in texts.items():
+        s = np.log(n / n.sum()) + sum((share[:, k] for k, j in enumerate(used) if known[j] in different(t)), np.zeros(3))
+        assert np.allclose(got[i], np.exp(s - s.max()) / np.exp(s - s.max()).sum(), atol=1e-9)
+
+
+def test_mixing_of_many_domains_and_unknown_targets(spark):
+    langs = {i: f"l{i % 70:02}" for i in range(280)}
+    docs = documents(spark, {i: " ".join(f"{d}w{k}" for k in range(12)) for i, d in langs.items()}, langs)
+    rated, model = mixing.rates(docs, keep=["doc_id"])
+    assert model.domains == sorted(set(langs.values())) and all(model.domains[int(np.argmax(r.p))] == langs[r.row.doc_id] for r in rated.collect())
+    few = documents(spark, {1: "a b", 2: "c d", 3: None}, {1: "x", 2: "y"})
+    with pytest.warns(UserWarning, match="no row is known"):
+        assert mixing.rates(few, {"x": 1.0, "zz": 3.0})[0].count() == 3
+    for docs in (few, documents(spark, [])):
+        with pytest.warns(UserWarning, match="no row is known"):
+            assert {r.rate for r in mixing.rates(docs, {"zz": 1.0})[0].collect()} <= {1.0}
+    with pytest.warns(UserWarning, match="no row is known"):
+        assert mixing.resample(documents(spark, []), {"x": 1.0}).count() == 0
+
+
 @pytest.mark.parametrize("shares", [(0.6, 0.25, 0.149, 0.001), (0.6, 0.25, 0.15, 0.00001)])
 def test_mixing_with_a_rare_domain(spark, shares):
-    rows = [(round(1e6 * s), *[float(j == k) for j in range(4)]) for k, s in enumerate(shares)]
-    rated, off = mixing.fit_rates(spark.createDataFrame(rows, "n_tokens long, p0 double, p1 double, p2 double, p3 double"), 4)
+    rows = [(round(1e6 * s), [float(j == k) for j in range(4)]) for k, s in enumerate(shares)]
+    members = spark.createDataFrame(rows, "n_tokens long, p array<double>")
+    steps, off = mixing.fit_rates(members, 4)
     assert max(map(abs, off)) < mixing.TOLERANCE
-    got = np.array([r.rate * r.n_tokens for r in rated.orderBy(F.desc("p0"), F.desc("p1"), F.desc("p2")).collect()])
+    rated = members.withColumn("rate", mixing.rate_of(steps))
+    got = np.array([r.rate * r.n_tokens for r in sorted(rated.collect(), key=lambda r: r.p, reverse=True)])
     want = np.array(shares) ** mixing.FLATTEN
     assert np.allclose(got / got.sum(), want / want.sum(), rtol=1e-3)
 
 
 def test_mixing_says_what_is_not_met(spark):
     rng = np.random.default_rng(0)
-    soft = [(int(rng.integers(50, 500)), *map(float, rng.dirichlet([0.3, 0.3, 0.05]))) for _ in range(300)]
-    members = spark.createDataFrame(soft, "n_tokens long, p0 double, p1 double, p2 double")
+    soft = [(int(rng.integers(50, 500)), rng.dirichlet([0.3, 0.3, 0.05]).tolist()) for _ in range(300)]
+    members = spark.createDataFrame(soft, "n_tokens long, p array<double>")
     assert max(map(abs, mixing.fit_rates(members, 3, {0: 0.3, 1: 0.3, 2: 0.4})[1])) < mixing.TOLERANCE
     docs = documents(spark, {i: "same words in both" for i in range(20)}, {i: "a" if i % 2 else "b" for i in range(20)})
     with pytest.warns(UserWarning, match="off their targets"):
