@@ -45,7 +45,19 @@ def test_stitching_and_merges():
         pieces = [p for part in bpe.stitch(chunks, e) for p in part]
         assert pieces == e.pattern.findall(t) and e.encode(pieces) == lib.encode_ordinary(t)
         for p in set(pieces):
-            assert bpe.merge(p.encode(), e.ranks) == lib._core_bpe.encode_single_piece(p.encode())
+            assert bpe.merge(p.encode(), e.ranks) == e.one(p)
+
+
+def test_pieces_of_long_texts_and_clashing_names(spark):
+    """Small chunks, so that texts have many pieces that are encoded apart; without the compiled core as well."""
+    texts = {i: "".join(random.Random(i).choice(["word ", "it's ", "\n\n", "a" * 90, "漢字 ", " " * 70]) for _ in range(400)) for i in range(4)}
+    docs = documents(spark, [*texts.items(), (None, texts[0])])
+    coded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, chunk=300, overlap=60)
+    want = {t: np.array(library().encode_ordinary(t), "<u4").tobytes() for t in texts.values()}
+    got = sorted(((r.doc_id, bytes(r.ids)) for r in coded.collect()), key=str)
+    assert got == sorted([*((i, want[t]) for i, t in texts.items()), (None, want[texts[0]])], key=str)
+    back = bpe.decode(coded.withColumn("decoded", F.lit(1)), RANKS, public_tokenizers.PATTERN)
+    assert back.columns == ["doc_id", "ids", "decoded"] and {bytes(r.decoded).decode() for r in back.collect()} == set(texts.values())
 
 
 EMAIL, IP = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")

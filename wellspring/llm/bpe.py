@@ -1,12 +1,15 @@
 """Byte-level BPE: encoding by overlapping chunks, and decoding.
 
-Long texts are cut into overlapping chunks that are pre-tokenised as rows of their own, on any executor. A
+Long texts are cut into overlapping chunks, which are dealt to all tasks and pre-tokenised as rows of their own. A
 chunk's first boundaries may be wrong, as it may start inside a pre-token; but the pattern looks only forward,
 so from the first boundary that it shares with the chunk before, both agree. There the chunks are stitched, and
-the pieces between stitches are encoded. Decoding puts the tokens' raw bytes on end.
+the pieces between stitches are dealt to all tasks again and encoded as rows of their own; their ids are put on end.
+Decoding puts the tokens' raw bytes on end.
 
-Defined results: a null text counts as empty, an empty text has no tokens; ids are unsigned 32-bit integers in
-little-endian bytes; repeated rows are each encoded; other columns are ignored, or kept where asked for.
+Defined results: a null text counts as empty, an empty text has no tokens; a text of any length is encoded whole, and has
+to fit in one row, as do its ids; of equal ranks in a piece the leftmost is merged first; ids are unsigned 32-bit integers
+in little-endian bytes; repeated rows are each encoded; an empty table gives an empty result; other columns are ignored, or
+kept by decode(), where a column named `decoded` is replaced.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from wellspring.llm._common import table
-from wellspring.session import release, ship
+from wellspring.session import materialize, release, ship
 
 CHUNK = 32_768
 OVERLAP = 512
@@ -68,7 +71,8 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Encoder:
-    """Pre-tokens to ids with a bounded cache; the merges run in tiktoken's compiled core where it is installed."""
+    """Pre-tokens to ids with a bounded cache; the merges run in tiktoken's compiled core where it is installed (with a pattern
+    that takes a piece whole), else in merge()."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
@@ -77,9 +81,9 @@ class Encoder:
         try:
             import tiktoken
 
-            self.one = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+            self.one = tiktoken.Encoding("ranks", pat_str="(?s:.+)", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         except ImportError:
-            self.one = lambda piece: merge(piece, ranks)
+            self.one = lambda piece: merge(piece.encode("utf-8"), ranks)
 
     def encode(self, pieces: list[str]) -> list[int]:
         cache, out = self.cache, []
@@ -88,7 +92,7 @@ class Encoder:
             if ids is None:
                 if len(cache) >= CACHE:
                     cache.clear()
-                ids = cache[p] = self.one(p.encode("utf-8"))
+                ids = cache[p] = self.one(p)
             out += ids
         return out
 
@@ -175,7 +179,8 @@ def _packed(ids: list[int]) -> bytes:
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """doc_id and ids (binary) of every row. Texts within one chunk never move; longer ones meet their chunks by a shuffle."""
+    """doc_id and ids (binary) of every row. Texts within one chunk never move; chunks of longer ones go to any task, meet there
+    to be stitched, and their pieces go to any task again."""
     shared = _share(docs.sparkSession, path, pattern)
     t = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kind = dict(t.dtypes)["doc_id"]
@@ -187,6 +192,16 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
         release()
 
+    def cut(batches):
+        for b in batches:
+            for row, text in zip(b.column("row"), b.column("text")):
+                text = text.as_py()
+                starts = list(range(0, len(text) - overlap, chunk - overlap))
+                for k in range(0, len(starts), 16):
+                    some = starts[k : k + 16]
+                    yield pa.RecordBatch.from_arrays([pa.array([row.as_py()] * len(some), pa.int64()), pa.array(some, pa.int32()), pa.array([text[a : a + chunk] for a in some], pa.string())], ["row", "start", "text"])
+        release()
+
     def bounds(batches):
         e = encoder(shared)
         for b in batches:
@@ -198,21 +213,40 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         e = encoder(shared)
         rows = rows.sort_values("start")
         chunks = [(int(s), x, np.frombuffer(b, "<i4").astype(np.int64)) for s, x, b in zip(rows["start"], rows["text"], rows["starts"])]
-        ids = b"".join(_packed(e.encode(pieces)) for pieces in stitch(chunks, e))
-        return pd.DataFrame({"doc_id": rows["doc_id"].iloc[:1], "ids": [ids]})
+        parts = stitch(chunks, e)
+        ends = [np.cumsum([len(p) for p in pieces], dtype="<i4").tobytes() for pieces in parts]
+        return pd.DataFrame({"row": rows["row"].iloc[0], "part": range(len(parts)), "text": ["".join(pieces) for pieces in parts], "ends": ends})
+
+    def pieces(batches):
+        e = encoder(shared)
+        for b in batches:
+            ids = []
+            for text, ends in zip(b.column("text"), b.column("ends")):
+                text, ends = text.as_py(), np.frombuffer(ends.as_py(), "<i4").tolist()
+                ids.append(_packed(e.encode([text[i:j] for i, j in zip([0, *ends], ends)])))
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("part"), pa.array(ids, pa.binary())], ["row", "part", "ids"])
+        release()
+
+    def on_end(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("part")
+        return pa.table({"doc_id": rows.column("doc_id").slice(0, 1), "ids": pa.array([b"".join(x.as_py() for x in rows.column("ids") if x.is_valid)], pa.binary())})
 
     long = F.length("text") > chunk
     short = t.where(~long).mapInArrow(whole, f"doc_id {kind}, ids binary")
-    cut = t.where(long).withColumn("row", F.monotonically_increasing_id())
-    cut = cut.select("row", "doc_id", "text", F.explode(F.sequence(F.lit(0), F.length("text") - overlap - 1, F.lit(chunk - overlap))).alias("start"))
-    cut = cut.select("row", "doc_id", "start", F.expr(f"substring(text, start + 1, {chunk})").alias("text"))
-    met = cut.mapInArrow(bounds, f"row bigint, doc_id {kind}, start int, text string, starts binary").groupBy("row").applyInPandas(meet, f"doc_id {kind}, ids binary")
-    return short.union(met)
+    # Numbered once and written, so that a number never comes to name another row.
+    rows = materialize(t.where(long).withColumn("row", F.monotonically_increasing_id()), "long")
+    chunks = rows.select("row", "text").mapInArrow(cut, "row bigint, start int, text string").repartition("row", "start")
+    met = chunks.mapInArrow(bounds, "row bigint, start int, text string, starts binary").groupBy("row").applyInPandas(meet, "row bigint, part int, text string, ends binary")
+    coded = met.repartition("row", "part").mapInArrow(pieces, "row bigint, part int, ids binary")
+    # Every text's number and id as part -1, so that the ids' pieces meet its doc_id without another join.
+    named = rows.select("row", "doc_id", F.lit(-1).alias("part"), F.lit(None).cast("binary").alias("ids"))
+    return short.union(named.unionByName(coded.withColumn("doc_id", F.lit(None).cast(kind))).groupBy("row").applyInArrow(on_end, f"doc_id {kind}, ids binary"))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """encoded with a column `decoded`, the bytes of its ids."""
     shared = _share(encoded.sparkSession, path, pattern)
+    encoded = encoded.drop("decoded")
     place = encoded.columns.index("ids")
 
     def run(batches):
