@@ -45,27 +45,55 @@ def corpus():
         for _ in range(rng.randint(0, 3)):
             w[rng.randrange(len(w))] = rng.choice(vocab)
         texts[i] = " ".join(w)
+    chain = prose(1700, 77, vocabulary(3000, 7)).split()
+    for k in range(200):  # neighbours are alike, others less and less
+        texts[300 + k] = " ".join(chain[8 * k : 8 * k + 100])
     texts |= {200: None, 201: "", 202: " \n\t", 203: "one", 204: "one", 205: "one two three four", 206: "one two  three\nfour", 207: texts[3], 208: prose(20_000, 5, vocab)}
     return texts
 
 
-def test_join_equals_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize(("block", "block_bytes"), [(64, 1 << 20), (8, 1 << 20), (1, 4096)])
+def test_join_equals_brute_force(spark, monkeypatch, block, block_bytes):
+    """The chain is verified by buckets, the group of near copies as one; with blocks that must be stitched, and blocks by bytes."""
     texts = corpus()
-    want = brute_classes(texts)
-    for block in (64, 8):  # one unit, and many that must be stitched
-        monkeypatch.setattr(ngram_join, "BLOCK", block)
-        monkeypatch.setattr(ngram_join, "LARGEST_BLOCK", block)
-        got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.join(documents(spark, texts)).collect()}
-        assert got == want
+    modes = []
+    units = ngram_join._units
+    monkeypatch.setattr(ngram_join, "_units", lambda same: modes.append(u := units(same)) or u)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "LARGEST_BLOCK", block)
+    monkeypatch.setattr(ngram_join, "BLOCK_BYTES", block_bytes)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.join(documents(spark, texts)).collect()}
+    assert got == brute_classes(texts)
+    bands = {u.band for r in modes[0].collect() for u in r.units}
+    assert -1 in bands and len(bands) > 10
 
 
 def test_join_of_repeated_rows_and_empty_table(spark):
-    rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (None, "x")]
-    got = sorted(tuple(r)[:4] for r in ngram_join.join(documents(spark, rows)).collect())
-    assert got == [(1, 1, 1, 1), (2, 1, 1, 1)]
+    rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (None, "x"), (None, None), (5, "a b c  d e f g"), (5, "quite another text of six words")]
+    got = sorted((tuple(r)[:4] for r in ngram_join.join(documents(spark, rows)).collect()), key=str)
+    assert got == sorted([(1, 1, 3, 1), (1, 1, 3, 1), (2, 1, 3, 1), (5, 1, 3, 1), (5, 5, 0, 5), (None, None, 0, None), (None, None, 0, None)], key=str)
     assert ngram_join.join(documents(spark, [])).count() == 0
-    kept = ngram_join.stage(spark, documents(spark, rows + [(3, "other words that are alone here")]), "")
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 3] and kept.columns == documents(spark, []).columns
+
+
+def test_stage_keeps_every_text_that_is_no_copy(spark):
+    near = prose(100, 1).split()
+    rows = [(1, " ".join(near)), (5, " ".join(near[:99])), (5, prose(50, 2)), (None, prose(50, 3)), (None, prose(50, 4)), (None, prose(50, 4)), (None, None), (None, ""), (7, ""), (7, ""), (8, "one"), (None, "one")]
+    docs = documents(spark, rows)
+    kept = ngram_join.stage(spark, docs, "")
+    want = [rows[0], *rows[2:5], *rows[6:11]]
+    assert kept.columns == docs.columns and sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+    twice = ngram_join.stage(spark, documents(spark, [*rows, *rows]), "").collect()
+    assert sorted(((r.doc_id, r.text) for r in twice), key=str) == sorted([*want, *[r for r in rows if not words(r[1])]], key=str)
+    assert ngram_join.stage(spark, documents(spark, []), "").count() == 0
+
+
+def test_recall_on_documents(spark):
+    """Whole classes of sf0.001's documents, against all pairs."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    want = brute_classes({r.doc_id: r.text for r in rows})
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.query(spark, "/root/testdata/sf0.001").collect()}
+    linked = [i for i, (_, n) in want.items() if n]
+    assert linked and np.mean([got[i] == want[i] for i in linked]) >= 0.99 and all(got[i][1] == 0 for i in want if i not in set(linked))
 
 
 def test_bands_reach_the_recall():

@@ -3,18 +3,21 @@
 1. Every text becomes its set of five-word shingles (64-bit hashes) and BANDS band hashes of ROWS minima each; texts
    with the same set are one class from here on, found by a partial aggregate on the set's 128-bit digest.
 2. Band hashes are shuffled; classes that share one are candidates. Buckets are kept as stars, never as pairs, and
-   their connected components tell which sets must meet.
-3. Each component's classes are dealt to blocks, and every pair of blocks is one unit of work that compares its full
-   sets by matrix products and returns, for each class, how many documents it links to and one edge of a spanning
-   forest: rows in proportion to the classes, not to the pairs. A large component becomes many equal units.
+   their connected components tell which sets may meet.
+3. Full sets are verified in units: a bucket is one, where its pairs count in the first band that they share; or, where the
+   buckets of a component overlap so much that comparing all its classes once is less work (groups of near copies), the
+   component is. The classes of a unit are dealt to blocks, bounded in classes and bytes, and every pair of blocks is
+   compared by matrix products that return, for each class, how many documents it links to and one edge of a spanning
+   forest: rows in proportion to the classes, not to the pairs. A large unit becomes many equal tasks.
 4. The forest's components are the groups.
 
-Pairs in one component are all compared, so a pair is only missed if no chain of shared bands joins it: at the
-threshold of 0.8, 20 bands of 5 miss one pair in 2800, fewer above it.
+A pair is missed only if no band has the same hash: at the threshold of 0.8, 20 bands of 5 miss one pair in 2800, fewer
+above it.
 
-Defined results: a text of one to four words has one shingle, all its words; a text without words, or null, links to
-nothing; rows with the same doc_id are one document, whose text is the one with the smallest digest; an empty table
-gives an empty result; other columns are ignored.
+Defined results: every row is a document of its own, whatever its id, so repeated rows link to one another and rows with a
+null id take part; a text of one to four words has one shingle, all its words; a text without words, or null, links to
+nothing; a very long text is one set like any other; pairs exactly at the threshold link; class_id is the group's smallest
+id that is not null, else null; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellspring.llm._common import Words, connected_components, mix, table, word_batches
@@ -32,10 +35,13 @@ from wellspring.session import materialize, release, ship
 
 N = 5
 THRESHOLD = 0.8
-#: A component of n classes is dealt to blocks of max(BLOCK, 2 * sqrt(n)) classes, at most LARGEST_BLOCK.
-BLOCK, LARGEST_BLOCK = 64, 4096
+#: A unit of n classes is dealt to blocks of max(BLOCK, 2 * sqrt(n)) classes, at most LARGEST_BLOCK, and of BLOCK_BYTES of sets.
+BLOCK, LARGEST_BLOCK, BLOCK_BYTES = 64, 2048, 8 << 20
 #: Shingles that a matrix product takes at once.
-COLUMNS = 4096
+COLUMNS = 2048
+KEY = "struct<i:bigint,h:bigint,g:int>"
+UNIT = "struct<unit:bigint,band:int,blocks:int>"
+LINKS = "node bigint, root bigint, links bigint"
 
 
 def bands_and_rows(threshold: float, recall: float, most: int = 128) -> tuple[int, int]:
@@ -78,8 +84,20 @@ def _digest(s: np.ndarray) -> tuple[np.uint64, np.uint64]:
     return s.sum(dtype=np.uint64) ^ np.uint64(len(s)), mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
 
 
-def signatures(docs: DataFrame, bands: int, rows: int, n: int = N, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, d1, d2 (digest of the shingle set), n_shingles and the array bands of every row; one narrow pass."""
+def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text and key: id and two hashes of the text. Rows with one key are copies of one document."""
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return picked.withColumn("key", _key("doc_id", "text"))
+
+
+def _key(id_col: str, text_col: str) -> Column:
+    """As one struct: nulls inside it are equal."""
+    text = F.col(text_col).cast("string")
+    return F.struct(F.col(id_col).cast("long").alias("i"), F.xxhash64(text).alias("h"), F.hash(text).alias("g"))
+
+
+def signatures(docs: DataFrame, bands: int, rows: int, n: int = N) -> DataFrame:
+    """key, d1, d2 (digest of the shingle set), n_shingles and the array bands of every row of _documents(); one narrow pass."""
     ship(docs.sparkSession)
     multipliers = _multipliers(bands * rows)
 
@@ -95,33 +113,37 @@ def signatures(docs: DataFrame, bands: int, rows: int, n: int = N, id_col: str =
             places = np.concatenate([[0], np.cumsum([len(h) for h in hashes])]).astype(np.int32)
             flat = np.concatenate(hashes).view(np.int64) if hashes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(np.array(d1, np.uint64).view(np.int64)), pa.array(np.array(d2, np.uint64).view(np.int64)), pa.array(np.array(size, np.int32)), pa.ListArray.from_arrays(pa.array(places), pa.array(flat))],
-                ["doc_id", "d1", "d2", "n_shingles", "bands"],
+                [b.column("key"), pa.array(np.array(d1, np.uint64).view(np.int64)), pa.array(np.array(d2, np.uint64).view(np.int64)), pa.array(np.array(size, np.int32)), pa.ListArray.from_arrays(pa.array(places), pa.array(flat))],
+                ["key", "d1", "d2", "n_shingles", "bands"],
             )
         release()
 
-    picked = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id bigint, d1 bigint, d2 bigint, n_shingles int, bands array<bigint>")
+    return docs.select("key", "text").mapInArrow(run, f"key {KEY}, d1 bigint, d2 bigint, n_shingles int, bands array<bigint>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """wanted (node, d1, d2, ...) with the column `s`, the node's shingle set as bytes."""
+    """wanted (key, node, d1, d2, ...) with the column `s`, the node's shingle set as bytes; a node of repeated rows once a task."""
+    kept = ("node", "copies", "units", "bands")
 
     def run(batches):
+        seen = set()
         for b in batches:
             keep, out = [], []
-            d1, d2 = b.column("d1").to_numpy(), b.column("d2").to_numpy()
+            d1, d2, node = (b.column(c).to_numpy() for c in ("d1", "d2", "node"))
             for first, w in word_batches(b.column("text")):
                 for k in range(len(w.docs) - 1):
+                    if node[first + k] in seen:
+                        continue
                     s = shingles(w, k, n)
                     x, y = _digest(s)
                     if x.astype(np.int64) == d1[first + k] and y.astype(np.int64) == d2[first + k]:
+                        seen.add(node[first + k])
                         keep.append(first + k)
                         out.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(keep, pa.int64())) for c in ("node", "copies", "group", "blocks")), pa.array(out, pa.binary())], ["node", "copies", "group", "blocks", "s"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(keep, pa.int64())) for c in kept), pa.array(out, pa.binary())], [*kept, "s"])
         release()
 
-    return docs.join(wanted, F.col("doc_id") == F.col("node")).select("node", "copies", "group", "blocks", "d1", "d2", "text").mapInArrow(run, "node bigint, copies bigint, group bigint, blocks int, s binary")
+    return docs.join(wanted, "key").select(*kept, "d1", "d2", "text").mapInArrow(run, f"node bigint, copies bigint, units array<{UNIT}>, bands array<bigint>, s binary")
 
 
 def _compare(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
@@ -148,7 +170,7 @@ def _compare(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, thresh
 
 def _verify(threshold: float):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        _, low, high = key
+        _, band, low, high = key
         rows = rows.sort_values("node").drop_duplicates("node")
         node, copies, block = rows["node"].to_numpy(), rows["copies"].to_numpy(), rows["block"].to_numpy()
         sets = [np.frombuffer(s, np.uint64) for s in rows["s"]]
@@ -158,6 +180,10 @@ def _verify(threshold: float):
         alike = _compare(sets, left, right, threshold)
         if low == high:
             np.fill_diagonal(alike, False)
+        if band > 0:  # a pair that shares an earlier band counts there
+            bands = np.stack(rows["bands"].to_list())
+            for k in range(band):
+                alike &= bands[left, k][:, None] != bands[right, k][None, :]
         links = np.zeros(len(node), np.int64)
         links[left] += alike @ copies[right]
         if low != high:
@@ -177,45 +203,70 @@ def _verify(threshold: float):
     return run
 
 
-def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = 0.9996, n: int = N, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id, n_links, copy_of and n_shingles: one row for each document.
-
-    class_id is the smallest doc_id that links reach; n_links counts the documents, copies among them, whose
-    similarity to this one is at least the threshold; copy_of is the smallest doc_id with the same shingle set.
-    """
+def _units(same: DataFrame) -> DataFrame | None:
+    """node and units: where each class that shares a band with another is compared. None if none does."""
+    members = same.select("node", "n_shingles", F.posexplode("bands").alias("band", "hash"))
+    members = materialize(members.select("node", "n_shingles", "band", F.xxhash64("band", "hash").alias("bucket")), "bands")
+    buckets = members.groupBy("bucket").agg(F.min("node").alias("b"), F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")).where("n > 1")
+    buckets = materialize(buckets, "buckets")
+    if buckets.isEmpty():
+        return None
+    members = materialize(members.join(buckets, "bucket").select("node", "bucket", "band", "b", "n", "shingles"), "members")
+    parts = materialize(connected_components(members.where("node <> b").select(F.col("node").alias("a"), "b")), "candidates")
+    # How many pairs a component has, and how many its buckets have, those in several buckets as often.
+    sizes = parts.join(same.select("node", "n_shingles"), "node").groupBy("root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    overlap = buckets.join(parts, F.col("b") == F.col("node")).groupBy("root").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("pairs"))
+    sizes = materialize(sizes.join(overlap, "root").withColumn("by_bucket", (F.col("n") > BLOCK) & (F.col("pairs") < F.col("n").cast("double") * F.col("n"))), "sizes")
+    per_block = F.least(F.greatest(F.lit(float(BLOCK)), 2 * F.sqrt("n")), F.lit(float(LARGEST_BLOCK)))
+    blocks = F.greatest(F.ceil(F.col("n") / per_block), F.ceil(8 * F.col("shingles") / BLOCK_BYTES)).cast("int").alias("blocks")
+    whole = parts.join(sizes.where("not by_bucket"), "root").select("node", F.struct(F.col("root").alias("unit"), F.lit(-1).alias("band"), blocks).alias("u"))
+    dealt = members.join(parts, "node").join(sizes.where("by_bucket").select("root"), "root", "left_semi")
+    units = whole.union(dealt.select("node", F.struct(F.col("bucket").alias("unit"), "band", blocks).alias("u")))
+    return units.groupBy("node").agg(F.sort_array(F.collect_list("u")).alias("units"))
+
+
+def _known(docs: DataFrame, threshold: float, recall: float, n: int) -> tuple[DataFrame, DataFrame]:
+    """From _documents(): key, d1, d2 and n_shingles of every row; and of every class its digest, node, root (of its group),
+    links, copies, and the key of its first row. Nodes are numbered by their smallest id, so a group's root has its smallest."""
     bands, rows = bands_and_rows(threshold, recall)
-    docs = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     every = materialize(signatures(docs, bands, rows, n), "signatures")
-    # A document's rows are one; which holds doesn't depend on their order.
-    every = materialize(every.groupBy("doc_id").agg(F.min(F.struct("d1", "d2", "n_shingles", "bands")).alias("x")).select("doc_id", "x.*"), "documents")
-    same = every.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
-    same = materialize(same, "classes")
-    first = every.join(same.select(F.col("node").alias("doc_id"), "copies"), "doc_id").select(F.col("doc_id").alias("node"), F.posexplode("bands").alias("band", "hash"))
-    keys = first.select("node", F.xxhash64("band", "hash").alias("key"))
-    keys = materialize(keys, "bands")
-    buckets = keys.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1").select("key", "b")
-    stars = keys.join(buckets, "key").where("node <> b").select(F.col("node").alias("a"), "b")
-    parts = materialize(connected_components(stars), "candidates")
-    sizes = parts.groupBy("root").agg(F.count("*").alias("size"))
-    per_block = F.least(F.greatest(F.lit(float(BLOCK)), 2 * F.sqrt("size")), F.lit(float(LARGEST_BLOCK)))
-    sizes = materialize(sizes.select("root", F.ceil(F.col("size") / per_block).cast("int").alias("blocks")), "sizes")
-    wanted = parts.join(sizes, "root").select("node", F.col("root").alias("group"), "blocks")
-    wanted = wanted.join(same, "node").select("node", "copies", "group", "blocks", "d1", "d2")
-    dealt = _sets(docs, wanted, n).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).select("group", "low", "high", "block", "node", "copies", "s")
-    found = materialize(dealt.groupBy("group", "low", "high").applyInPandas(_verify(threshold), "node bigint, root bigint, links bigint"), "links")
+    first = F.struct(F.col("key.i").isNull().alias("none"), "key", "n_shingles", "bands")
+    same = every.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min(first).alias("x"), F.count("*").alias("copies"))
+    same = same.select("d1", "d2", "copies", "x.key", "x.n_shingles", "x.bands").orderBy(F.asc_nulls_last("key.i"), "d1", "d2")
+    same = materialize(same.withColumn("node", F.monotonically_increasing_id()), "classes")
+    units = _units(same)
+    if units is None:
+        found = docs.sparkSession.createDataFrame([], LINKS)
+    else:
+        wanted = units.join(same, "node").select("key", "node", "copies", "d1", "d2", "units", F.when(F.exists("units", lambda u: u["band"] > 0), F.col("bands")).alias("bands"))
+        met = _sets(docs, wanted, n).withColumn("u", F.explode("units")).select("node", "copies", "bands", "s", "u.*")
+        met = met.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        met = met.select("unit", "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "copies", F.when(F.col("band") > 0, F.col("bands")).alias("bands"), "s")
+        found = materialize(met.groupBy("unit", "band", "low", "high").applyInPandas(_verify(threshold), LINKS), "links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     groups = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     known = same.join(links, "node", "left").join(groups, "node", "left")
-    known = known.select("d1", "d2", "node", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
-    known = materialize(known, "known")
-    out = every.select("doc_id", "d1", "d2", "n_shingles").join(known, ["d1", "d2"], "left")
+    known = known.select("d1", "d2", "node", "copies", "key", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
+    return every, materialize(known, "known")
+
+
+def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = 0.9996, n: int = N, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, class_id, n_links, copy_of and n_shingles: one row for each row of docs.
+
+    class_id is the smallest doc_id that links reach; n_links counts the rows, copies among them, whose
+    similarity to this one is at least the threshold; copy_of is the smallest doc_id with the same shingle set.
+    """
+    every, known = _known(_documents(docs, id_col, text_col), threshold, recall, n)
+    # The root's id, met by a join of two written tables, so that the members of a large group can be split.
+    named = known.join(known.select(F.col("node").alias("root"), F.col("key.i").alias("class_id")), "root")
+    named = materialize(named.select("d1", "d2", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"), F.col("key.i").alias("copy_of")), "named")
+    out = every.select(F.col("key.i").alias("doc_id"), "d1", "d2", "n_shingles").join(named, ["d1", "d2"], "left")
+    some = F.col("n_shingles") > 0
     return out.select(
         "doc_id",
-        F.when(F.col("n_shingles") > 0, F.col("root")).otherwise(F.col("doc_id")).alias("class_id"),
-        F.when(F.col("n_shingles") > 0, F.col("links") + F.col("copies") - 1).otherwise(0).cast("long").alias("n_links"),
-        F.when(F.col("n_shingles") > 0, F.col("node")).otherwise(F.col("doc_id")).alias("copy_of"),
+        F.when(some, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        F.when(some, F.col("n_links")).otherwise(0).cast("long").alias("n_links"),
+        F.when(some, F.col("copy_of")).otherwise(F.col("doc_id")).alias("copy_of"),
         F.col("n_shingles").cast("long").alias("n_shingles"),
     )
 
@@ -224,9 +275,21 @@ def query(spark, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents"))
 
 
+def without_copies(docs: DataFrame, threshold: float = THRESHOLD, recall: float = 0.9996, n: int = N, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs' columns: of each group one row, a row of its root class; every row that links to nothing, wordless ones too."""
+    columns = docs.columns
+    every, known = _known(_documents(docs, id_col, text_col), threshold, recall, n)
+    rows = every.groupBy("key").agg(F.count("*").alias("rows"), F.max("n_shingles").alias("n_shingles"))
+    roots = known.where("node = root").select("key", F.lit(True).alias("root"))
+    kept = rows.join(roots, "key", "left").where("root OR n_shingles = 0")
+    kept = materialize(kept.select("key", ((F.col("rows") == 1) | (F.col("n_shingles") == 0)).alias("all")), "kept")
+    # docs' own columns are held in a struct, so that their names can't clash.
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), _key(id_col, text_col).alias("key"))
+    plain = held.join(kept.where("all").select("key"), "key", "left_semi").select("row")
+    repeated = held.join(kept.where("not all").select("key"), "key", "left_semi").groupBy("key").agg(F.first("row").alias("row")).select("row")
+    return plain.union(repeated).select(*[F.col("row")[c].alias(c) for c in columns])
+
+
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows of docs without near-duplicates: of each class the document that class_id names stays, in one row."""
-    kept = join(docs).where("doc_id = class_id").select("doc_id")
-    columns = [F.col(c) for c in docs.columns]
-    one = docs.join(materialize(kept, "kept"), "doc_id", "left_semi")
-    return one.groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("r")).select("r.*")
+    """The rows of docs without near-duplicates."""
+    return without_copies(docs)
