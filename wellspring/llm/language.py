@@ -5,16 +5,19 @@ position with a distribution over the languages; a document's probabilities are
 Weights are trained in numpy by backpropagation through time, on windows of a bounded sample.
 
 Defined results: a null text, or one without any letter, is `und` with score 0, as is every text where no
-document is labelled; repeated rows are each labelled; other columns are ignored.
+document is labelled; a very long text is read whole, window by window; of equal probabilities the first language by
+name holds; repeated rows are each labelled, and count once in training; an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wellspring.llm._common import held_out, table
@@ -22,7 +25,7 @@ from wellspring.session import ship
 
 WINDOW = 64
 HIDDEN = 8
-#: Bounds of the fit: so many documents in all, the same number of each language, and windows of each document.
+#: Bounds of the fit: about so many documents in all, the same number of each language, and windows of each document.
 SAMPLE_DOCS = 1600
 WINDOWS_PER_DOC = 4
 STEPS, BATCH, RATE = 220, 256, 0.02
@@ -197,17 +200,19 @@ def probabilities(net: Network, texts: list[str]) -> np.ndarray:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE_DOCS) -> Network | None:
-    """Train on `sample` of the labelled rows of docs, the same number of each language, chosen by a hash of the id."""
-    labelled = docs.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"))
-    languages = sorted(r.lang for r in labelled.select("lang").distinct().collect())
-    if not languages:
+    """Train on about `sample` of the labelled rows of docs, as many of each language, chosen by a hash of id and text.
+
+    A language's rows are counted first; then each row knows by itself whether it's in the sample, so that none meet in a task.
+    """
+    known = docs.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counts:
         return None
-    # Ids first, without texts: tasks keep the first few of each language before anything is shuffled.
-    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = [r.doc_id for r in labelled.withColumn("k", first).where(F.col("k") <= max(1, sample // len(languages))).collect()]
+    languages, parts = sorted(counts), 1 << 30
+    most = F.map_from_arrays(F.array(*map(F.lit, languages)), F.array(*[F.lit(math.ceil(parts * min(1.0, max(1, sample // len(languages)) / counts[x]))) for x in languages]))
+    known = known.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(3)), F.lit(parts)) < F.element_at(most, F.col("lang")))
     place = lambda k: F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(F.length("text") - WINDOW, F.lit(1))).cast("int") + 1
-    known = docs.where(F.col(id_col).isin(ids) & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    cut = known.where(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", *[F.substr("text", place(k), F.lit(WINDOW)).alias(f"w{k}") for k in range(WINDOWS_PER_DOC)])
+    cut = known.where(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", *[F.substr("text", place(k), F.lit(WINDOW)).alias(f"w{k}") for k in range(WINDOWS_PER_DOC)]).distinct()
     rows = [(w, r.lang) for r in sorted(cut.collect(), key=lambda r: (r.lang, r[0], r[2:])) for w in r[2:] if w]
     if not rows:
         return None

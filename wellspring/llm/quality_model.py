@@ -5,9 +5,10 @@ covariances are summed over every labelled training document; each covariance is
 variances; a score is the difference of the two classes' Mahalanobis log-densities, from Cholesky factors
 computed once and sent with the code.
 
-Defined results: a null text counts as empty; empty and wordless texts are scored like any other; where only
-one class has labels its share decides every score, and without labels every score is 0.5; of several labels
-of one document the smallest counts; repeated rows are each scored; other columns are ignored.
+Defined results: a null text counts as empty; empty, wordless and very long texts are scored like any other; where only
+one class has labels its share decides every score, and without labels every score is 0.5; a score of exactly the
+threshold accepts; of several labels of one document the smallest counts; repeated rows are each scored; an empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -4,8 +4,9 @@ Every document is measured by plain rules. Failures are then counted by host; ea
 shrunk towards the corpus by a beta prior fitted to the hosts' own rates (method of moments), and a host
 whose shrunken rate exceeds `reject_rate` has all its documents rejected. DataFrame functions only.
 
-Defined results: a null text has no words (it fails min_words); a null host is a host of its own; repeated
-rows are each judged and each count; an empty table gives an empty result; other columns are ignored.
+Defined results: a null text has no words (it fails min_words); a null host is a host of its own, apart from ''; a very long
+text is measured whole; a host whose rate ties with `reject_rate` is kept; repeated rows are each judged and each count; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +24,11 @@ BROADCAST_HOSTS = 100_000
 SALTS = 32
 
 
+def _host(host: Column) -> Column:
+    """Never null, and another string for each host: null is '', and every other host has a sign before it."""
+    return F.coalesce(F.concat(F.lit("="), host.cast("string")), F.lit(""))
+
+
 def _ordered(windows: Column) -> Column:
     """(hash, position) of each window in order, so that equal windows stand side by side."""
     return F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -31,7 +37,7 @@ def _ordered(windows: Column) -> Column:
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """id, host and the rule metrics of every row; one narrow pass, no shuffle."""
     t = F.coalesce(F.col(text_col), F.lit(""))
-    df = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), t.alias("t"))
+    df = docs.select(F.col(id_col).alias("doc_id"), _host(F.col(host_col)).alias("host"), t.alias("t"))
     df = df.select("doc_id", "host", "t", F.regexp_extract_all("t", F.lit(WORD), F.lit(0)).alias("words"))
     lines = F.filter(F.split("t", "\n", -1), lambda x: x.rlike(WORD))
     df = df.select(
@@ -102,7 +108,7 @@ def apply_rules(docs: DataFrame, reject_rate: float = 0.5, id_col: str = "doc_id
 
 ORACLE_SQL = """
 WITH w AS (
-  SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t,
+  SELECT doc_id, coalesce('=' || source, '') AS host, coalesce(text, '') AS t,
          regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
 win AS (
   SELECT doc_id, i, concat_ws(' ', words[i], words[i+1], words[i+2], words[i+3], words[i+4]) AS g

@@ -5,9 +5,10 @@ letters they stand for, and turns punctuation into spaces. The lexicon (whole wo
 that start with them), its weights and the exception phrases, inside which a hit does not count, come from labelled
 documents. Weights are log-odds; a document's weight, alone and by length, goes through a fitted logistic curve.
 
-Defined results: a null text counts as empty and has the score of a text without hits; without labels of both classes
-every score is 0; of several labels of one document the smallest counts; repeated rows are each scored; other
-columns are ignored.
+Defined results: a null text counts as empty and has the score of a text without hits; a very long text is matched whole;
+without labels of both classes every score is 0; of several labels of one document the smallest counts; of hits that start
+at one word the heaviest counts; repeated rows are each scored; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -25,33 +26,31 @@ from pyspark.sql import functions as F
 from wellspring.llm._common import held_out, table
 from wellspring.session import ship
 
-#: Bounds of the fit: so many labelled documents of each class, chosen by a hash of their ids.
-SAMPLE = 3000
+#: Bounds of the fit: so many labelled documents of each class, chosen by a hash of their ids, and so many entries of the
+#: lexicon and exceptions, those in most documents first: the model goes to every task.
+SAMPLE, MOST_ENTRIES = 3000, 20_000
 STEMS = range(4, 9)
-LEAST_DOCS, LEAST_ODDS, MOST_ENTRIES = 4, math.log(15), 20_000
+LEAST_DOCS, LEAST_ODDS = 4, math.log(15)
 
 # Letters of other scripts that look like Latin ones, and what digits and signs stand for in a word.
-LOOKALIKES = dict(zip("аеорсухіјѕԁԛԝһѵɡмнтквαεορτυικνχ", "aeopcyxijsdqwhvgmhtkbaeoptuiknx"))
+LOOKALIKES = dict(zip("аеорсухіјѕԁԛԝһѵɡмнтквαεορτυικνχıɑ", "aeopcyxijsdqwhvgmhtkbaeoptuiknxia"))
+#: Where letters, their compatible forms (full width, circled, mathematical ...) and punctuation are folded.
+FOLDED = (range(0x20, 0x2E80), range(0x3000, 0x3040), range(0xFB00, 0xFB07), range(0xFE10, 0xFE70), range(0xFF01, 0xFFEF), range(0x1D400, 0x1D800), range(0x1F100, 0x1F200))
 SUBSTITUTES = dict(zip("0134578@$€", "oieastbase"))
 
 
 def _table() -> dict[int, str]:
     out = {}
-    for c in map(chr, range(0x20, 0x2000)):
-        plain = unicodedata.normalize("NFKC", c)
-        low = plain.lower()
-        low = "".join(LOOKALIKES.get(x, x) for x in low)
-        if not low.isalnum() and c not in SUBSTITUTES:
+    for c in map(chr, (x for part in FOLDED for x in part)):
+        low = "".join(LOOKALIKES.get(x, x) for x in unicodedata.normalize("NFKC", c).lower())
+        if not low.isalnum() and c not in SUBSTITUTES and low not in SUBSTITUTES:
             low = " " if unicodedata.category(c)[0] in "PSZC" else low
         if low != c:
             out[ord(c)] = low
-    for c in map(chr, range(0xFF01, 0xFF5F)):  # full width forms
-        plain = unicodedata.normalize("NFKC", c).lower()
-        out[ord(c)] = plain if plain.isalnum() or plain in SUBSTITUTES else " "
-    for c in "\t\n\v\f\r  　":
+    for c in "\t\n\v\f\r":
         out[ord(c)] = " "
-    for c in "​‌‍⁠﻿­":  # zero width: dropped
-        out[ord(c)] = ""
+    for c in (0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, 0xAD):  # zero width: dropped
+        out[c] = ""
     return out
 
 
@@ -124,10 +123,11 @@ def _labelled(docs: DataFrame, labels: DataFrame, label_col: str, sample: int) -
     return docs.select("doc_id", "text").join(F.broadcast(picked[0].union(picked[1])), "doc_id").select("doc_id", "text", "y")
 
 
-def _counts(rows: DataFrame, patterns) -> DataFrame:
-    """p, d1, d0: in how many documents of each class each of patterns(text) occurs; summed in each batch before the shuffle."""
+def _counts(rows: DataFrame, make) -> DataFrame:
+    """p, d1, d0: in how many documents of each class each of make()(text) occurs; summed in each batch before the shuffle."""
 
     def run(batches):
+        patterns = make()
         for b in batches:
             seen: dict[str, list[int]] = {}
             for text, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist()):
@@ -177,20 +177,25 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample:
     if not n1 or not n0:
         return Lexicon()
     odds = F.log((F.col("d1") + 0.1) / n1) - F.log((F.col("d0") + 0.5) / n0)
-    found = _counts(rows, _words_and_stems).where((F.col("d1") >= LEAST_DOCS) & (odds >= LEAST_ODDS)).orderBy(F.desc("d1"), "p").limit(MOST_ENTRIES).collect()
+    found = _counts(rows, lambda: _words_and_stems).where((F.col("d1") >= LEAST_DOCS) & (odds >= LEAST_ODDS)).orderBy(F.desc("d1"), "p").limit(MOST_ENTRIES).collect()
     lexicon = Lexicon(_choose([(r.p, r.d1, r.d0) for r in found], n1, n0))
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
-    def phrases(text):
-        lex = shared.value
-        folded = fold(text)
-        out = set()
-        for s, e, _ in lex.hits(folded, lex.automaton()):
-            a, b = folded.rfind(" ", 0, s), folded.find(" ", e if folded[e - 1] != " " else e - 1)
-            c = folded.find(" ", b + 1)
-            out |= {folded[a : b + 1]} if a >= 0 else set()
-            out |= {folded[s : c + 1]} if c >= 0 else set()
-        return out
+    def phrases():
+        """Of a text: each hit with the word before it, and with the word after it."""
+        lex, automaton = shared.value, shared.value.automaton()
+
+        def of(text):
+            folded = fold(text)
+            out = set()
+            for s, e, _ in lex.hits(folded, automaton):
+                a, b = folded.rfind(" ", 0, s), folded.find(" ", e if folded[e - 1] != " " else e - 1)
+                c = folded.find(" ", b + 1)
+                out |= {folded[a : b + 1]} if a >= 0 else set()
+                out |= {folded[s : c + 1]} if c >= 0 else set()
+            return out
+
+        return of
 
     clean = _counts(rows, phrases).where((F.col("d0") >= LEAST_DOCS) & ((F.col("d0") + 0.1) / n0 > 4 * (F.col("d1") + 0.1) / n1))
     lexicon.exceptions = {r.p for r in clean.orderBy(F.desc("d0"), "p").limit(MOST_ENTRIES).collect()}

@@ -4,8 +4,10 @@ A url is expanded into host-suffix and path-prefix expressions; these meet the r
 hash prefixes, full SHA-256 digests then confirm, and the longest rule that fits wins.
 
 Defined results: a null url, or one without "://", has an empty host and path and fits no rule; an empty path
-does not start with "/", so no rule fits it; a null or empty rule table leaves every url to `default`; repeated
-rows are each judged; other columns are ignored.
+does not start with "/", so no rule fits it; an empty rule table, or rules with a null host or path, leave urls to `default`,
+and so does a fitting rule with a null verdict, whose name is shown; of rules that are equal the smaller verdict holds, and
+rules of equal length that fit one url are the same rule; a very long url is expanded to no more prefixes than rules have
+lengths; repeated rows are each judged; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -67,7 +69,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", id_c
     known = known.drop("path_n")
     hits = expressions.join(F.broadcast(known) if count <= BROADCAST_RULES else known, "prefix").where(F.col("full") == F.col("digest"))
     best = hits.groupBy("host", "path").agg(F.max(F.struct("n", "rule", "verdict")).alias("r")).select("host", "path", "r.rule", "r.verdict")
-    # Written first, so that the join's both sides are exchanged for it and a hot url can be split.
+    # Written first, so that the join's both sides are exchanged for it and a hot url can be split; the session's own threshold
+    # (spark.sql.autoBroadcastJoinThreshold), which sees the written size, decides whether it's broadcast.
     joined = urls.join(materialize(best, "urls"), ["host", "path"], "left")
     return joined.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
