@@ -118,6 +118,60 @@ def running_min_from_top(df: DataFrame, order: str, value: str, out: str) -> Dat
     return parts.withColumn("in_", inside).join(F.broadcast(base), "part_").withColumn(out, F.least("in_", "base_")).drop("part_", "in_", "base_")
 
 
+#: Values that an exact quantile may hold at once, and how finely a pass narrows down where it lies.
+QUANTILE_ROWS, QUANTILE_STEPS = 50_000, 2_000
+
+
+def exact_quantiles(df: DataFrame, value: str | Column, shares: list[float]) -> list[float | None]:
+    """Linear quantiles over all rows, as percentile() gives them; None where nothing is there.
+
+    percentile() holds every different value in one task. Here sketches of bounded size say between which values a
+    quantile lies, passes over what is between them narrow that down, and only when some thousands are left are they
+    counted by value. Sketches only choose where to look: ranks are exact counts.
+    """
+    v = clean(value).cast("double")
+    rows = df.select(v.alias("v")).where("v IS NOT NULL")
+    n = rows.count()
+    if not n:
+        return [None for _ in shares]
+    ranks = sorted({k for p in shares for k in (math.floor((n - 1) * p), math.ceil((n - 1) * p))})
+    at: dict[int, float] = {}
+    todo = [(-math.inf, math.inf, 0, n, ranks)]  # values in [low, high], rows under low, rows in it, ranks sought in it
+    while todo:
+        low, high, before, inside, sought = todo.pop()
+        part = rows if inside == n else rows.where(F.col("v").between(low, high))
+        if low == high:
+            at |= {k: low for k in sought}
+        elif inside <= QUANTILE_ROWS:
+            values = sorted((r.v, r.c) for r in part.groupBy("v").agg(F.count("*").alias("c")).collect())
+            i, seen = 0, before
+            for k in sought:
+                while seen + values[i][1] <= k:
+                    seen, i = seen + values[i][1], i + 1
+                at[k] = values[i][0]
+        else:
+            near = sorted({min(1.0, max(0.0, (k - before) / inside + x / QUANTILE_STEPS)) for k in sought for x in (-2, 2)})
+            cuts = part.agg(F.percentile_approx("v", [0.0, *near, 1.0], 4 * QUANTILE_STEPS)).first()[0]
+            cuts = sorted(set(cuts))
+            counts = part.agg(*[x for c in cuts for x in (F.count_if(F.col("v") < c), F.count_if(F.col("v") == c))]).first()
+            # Pieces: each cut by itself, and what lies open between two cuts.
+            pieces = []
+            for j, c in enumerate(cuts):
+                under, same = counts[2 * j], counts[2 * j + 1]
+                pieces.append((c, c, before + under, same))
+                if j + 1 < len(cuts):
+                    pieces.append((math.nextafter(c, math.inf), math.nextafter(cuts[j + 1], -math.inf), before + under + same, counts[2 * j + 2] - under - same))
+            for a, b, first, size in pieces:
+                if mine := [k for k in sought if first <= k < first + size]:
+                    todo.append((a, b, first, size, mine))
+    out = []
+    for p in shares:
+        h = (n - 1) * p
+        a, b = at[math.floor(h)], at[math.ceil(h)]
+        out.append(a + (b - a) * (h - math.floor(h)))
+    return out
+
+
 def fold_p(share: Column) -> Column:
     """Two-sided p-value from a one-sided share: folded at one half and doubled."""
     return 2 * F.least(share, 1 - share)

@@ -14,51 +14,82 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wellspring.functions.stats import benjamini_hochberg, fold_p
+from wellspring.functions.stats import benjamini_hochberg, cumulative, fold_p
 from wellspring.session import materialize, ship
 
-#: Control rows that may be sent to every executor; more are sampled down by a hash of their keys, as the draws would.
-MOST_CONTROLS = 500_000
+#: Control values up to so many bytes are sent to every executor; more are fetched, row by row as drawn, by a join.
+BROADCAST_BYTES = 64 << 20
 
 
 def _seed(*parts) -> int:
     return int.from_bytes(hashlib.blake2b("|".join(map(str, parts)).encode(), digest_size=8).digest(), "little")
 
 
-def simulate(values: np.ndarray, groups: np.ndarray, size: int, sims: int, seed: int) -> np.ndarray:
-    """sims x features medians. groups: where each control construct's rows start in values, and the end."""
+def draws(groups: np.ndarray, size: int, sims: int, seed: int) -> np.ndarray:
+    """sims x size numbers of control rows. groups: where each control construct's rows start, and the end."""
     rng = np.random.default_rng(seed)
-    cell = rng.integers(0, len(values), sims)
+    cell = rng.integers(0, groups[-1], sims)
     g = np.searchsorted(groups, cell, "right") - 1
     low, high = groups[g], groups[g + 1]
-    rows = low[:, None] + (rng.random((sims, size)) * (high - low)[:, None]).astype(int)
-    return np.median(values[rows], axis=1)
+    return low[:, None] + (rng.random((sims, size)) * (high - low)[:, None]).astype(np.int64)
+
+
+def simulate(values: np.ndarray, groups: np.ndarray, size: int, sims: int, seed: int) -> np.ndarray:
+    """sims x features medians of the drawn rows of values."""
+    return np.median(values[draws(groups, size, sims, seed)], axis=1)
 
 
 def construct_bootstrap(constructs: DataFrame, controls: DataFrame, features: list[str], construct: str, size: str = "cell_count", sims: int = 1000, seed: int = 42) -> DataFrame:
-    """construct, sim, x: the null medians of every construct (x in the order of features), one row for each simulation."""
+    """construct, sim, x: the null medians of every construct (x in the order of features), one row for each simulation.
+
+    Every control row without missing features takes part. Rows are numbered in the order of construct and features, so
+    that the draws are the same whether the values are broadcast or joined.
+    """
     spark = constructs.sparkSession
     ship(spark)
-    n = controls.count()
-    src = controls if n <= MOST_CONTROLS else controls.where(F.pmod(F.xxhash64(*controls.columns, F.lit(seed)), F.lit(1_000_000)) < int(1_000_000 * MOST_CONTROLS / n))
-    pdf = src.select(construct, *[F.col(f).cast("double").alias(f) for f in features]).na.drop().toPandas().sort_values([construct, *features], kind="stable")
-    starts = np.append(np.flatnonzero(np.append(True, pdf[construct].to_numpy()[1:] != pdf[construct].to_numpy()[:-1])), len(pdf)) if len(pdf) else np.zeros(1, int)
-    shared = spark.sparkContext.broadcast((pdf[features].to_numpy(float), starts))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        values, groups = shared.value
-        for b in batches:
-            b = b[b[size] > 0]
-            for first in range(0, len(b) if len(values) else 0, 64):
-                part = b.iloc[first : first + 64]
-                nulls = [simulate(values, groups, int(k), sims, _seed(seed, name)) for name, k in zip(part[construct], part[size])]
-                yield pd.DataFrame({construct: np.repeat(part[construct].to_numpy(), sims), "sim": np.tile(np.arange(sims), len(part)), "x": list(np.concatenate(nulls))})
-
     kind = dict(constructs.dtypes)[construct]
+    rows = controls.select(construct, *[F.col(f).cast("double").alias(f) for f in features]).na.drop()
+    counts = rows.groupBy(construct).agg(F.count("*").alias("n")).collect()  # control constructs, some thousands
+    counts = sorted(counts, key=lambda r: r[0])
+    starts = np.concatenate([[0], np.cumsum([r.n for r in counts], dtype=np.int64)])
     # Constructs are few rows but much work: they are dealt to all cores, a number that isn't coalesced again.
     dealt = constructs.select(construct, size).repartition(spark.sparkContext.defaultParallelism * 2)
-    # Several steps read the nulls: they are drawn once.
-    return materialize(dealt.mapInPandas(run, f"`{construct}` {kind}, sim int, x array<double>"), "nulls")
+    out = f"`{construct}` {kind}, sim int, x array<double>"
+    if not len(counts):
+        return spark.createDataFrame([], out)
+    if starts[-1] * len(features) * 8 <= BROADCAST_BYTES:
+        pdf = rows.toPandas().sort_values([construct, *features], kind="stable")
+        shared = spark.sparkContext.broadcast((pdf[features].to_numpy(float), starts))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            values, groups = shared.value
+            for b in batches:
+                b = b[b[size] > 0]
+                for first in range(0, len(b), 64):
+                    part = b.iloc[first : first + 64]
+                    nulls = [simulate(values, groups, int(k), sims, _seed(seed, name)) for name, k in zip(part[construct], part[size])]
+                    yield pd.DataFrame({construct: np.repeat(part[construct].to_numpy(), sims), "sim": np.tile(np.arange(sims), len(part)), "x": list(np.concatenate(nulls))})
+
+        # Several steps read the nulls: they are drawn once.
+        return materialize(dealt.mapInPandas(run, out), "nulls")
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for name, k in zip(b[construct], b[size]):
+                if k > 0:
+                    picked = draws(starts, int(k), sims, _seed(seed, name))
+                    for first in range(0, sims, max(1, 100_000 // int(k))):
+                        part = picked[first : first + max(1, 100_000 // int(k))]
+                        yield pd.DataFrame({construct: name, "sim": np.repeat(np.arange(first, first + len(part)), part.shape[1]), "place": part.reshape(-1)})
+
+    def medians(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({construct: [key[0]], "sim": [key[1]], "x": [np.median(np.stack(rows["v"].to_numpy()), axis=0)]})
+
+    # Equal rows may stand in any order among themselves: they're equal.
+    numbered = rows.groupBy(construct, *features).agg(F.count("*").alias("c_")).withColumn("o_", F.struct(construct, *features))
+    numbered = cumulative(numbered, "o_", "c_", "end_").select(F.explode(F.sequence(F.col("end_") - F.col("c_"), F.col("end_") - 1)).alias("place"), F.array(*features).alias("v"))
+    met = dealt.mapInPandas(draw, f"`{construct}` {kind}, sim int, place bigint").join(numbered, "place")
+    return materialize(met.select(construct, "sim", "v").groupBy(construct, "sim").applyInPandas(medians, out), "nulls")
 
 
 def gene_null(nulls: DataFrame, members: DataFrame, construct: str, gene: str) -> DataFrame:
@@ -96,9 +127,9 @@ def pseudogenes(constructs: DataFrame, patterns: dict[str, int], perturbation: s
     out = None
     for pattern, size in patterns.items():
         mine = constructs.where(F.col(perturbation).rlike(f"^(?:{pattern})"))
-        # Control constructs: some thousands.
-        k = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.xxhash64(construct, F.lit(seed)), construct))
-        mine = mine.withColumn("pseudogene", F.concat(F.lit(f"pseudo_{pattern}_"), F.ceil(k / size).cast("string")))
+        order = {"o_": F.struct(F.xxhash64(construct, F.lit(seed)).alias("h"), F.col(construct).alias("k")), "one_": F.lit(1)}
+        mine = cumulative(mine.withColumns(order), "o_", "one_", "k_")
+        mine = mine.withColumn("pseudogene", F.concat(F.lit(f"pseudo_{pattern}_"), F.ceil(F.col("k_") / size).cast("string"))).drop("o_", "one_", "k_")
         out = mine if out is None else out.unionByName(mine)
     return out
 

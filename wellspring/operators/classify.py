@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspring.functions.barcodes import canon_plate, canon_well
-from wellspring.functions.stats import clean
+from wellspring.functions.stats import clean, cumulative, exact_quantiles
+from wellspring.session import materialize
 
 
 class CellClassifier(ABC):
@@ -37,25 +38,26 @@ class ThresholdClassifier(CellClassifier):
 
     def classify_cells(self, df: DataFrame) -> DataFrame:
         v = clean(F.col(self.feature).cast("double"))
-        q1, q2, q3 = df.agg(*[F.percentile(v, p) for p in (0.25, 0.5, 0.75)]).first()
+        q1, q2, q3 = exact_quantiles(df, v, [0.25, 0.5, 0.75])
         if q2 is None:
             return df.withColumns({"class": F.lit(None).cast("string"), "confidence": F.lit(None).cast("double")})
         scaled = (v - q2) / ((q3 - q1) or 1.0)
         out = df.withColumn("class", F.when(scaled > self.cutoff, self.positive).otherwise(self.negative))
-        return _rank_share(out, "class", self.feature, self.keys) if self.keys else out.withColumn("confidence", F.row_number().over(Window.partitionBy("class").orderBy(v)) / F.count("*").over(Window.partitionBy("class")))
+        if self.keys:
+            return _rank_share(out, "class", self.feature, self.keys)
+        # Equal values are told apart by a number that is written with the rows.
+        return _rank_share(materialize(out.withColumn("id_", F.monotonically_increasing_id()), "classes"), "class", self.feature, ["id_"]).drop("id_")
 
 
 def _rank_share(df: DataFrame, group: str, value: str, keys: list[str]) -> DataFrame:
-    """df with confidence (rank / size in the group), ranks by cumulative counts over range partitions: no task sorts a whole class."""
-    from wellspring.functions.stats import cumulative
-
-    out = None
-    for (g,) in df.select(group).distinct().collect():  # two classes
-        mine = df.where(F.col(group).eqNullSafe(g)).withColumns({"o_": F.struct(clean(F.col(value).cast("double")).alias("v"), *keys), "one_": F.lit(1)})
-        n = mine.count()
-        ranked = cumulative(mine, "o_", "one_", "r_").withColumn("confidence", F.col("r_") / n).drop("o_", "one_", "r_")
-        out = ranked if out is None else out.unionByName(ranked)
-    return out
+    """df with confidence (rank / size in the group). One order over all rows, by group and value, cumulated over range
+    partitions: no task sorts a whole group. A group's ranks start where the groups before it end."""
+    each = df.withColumns({"o_": F.struct(F.col(group), clean(F.col(value).cast("double")).alias("v"), *keys), "one_": F.lit(1)})
+    before, confidence = 0, F.lit(None).cast("double")
+    for r in sorted(df.groupBy(group).agg(F.count("*").alias("n")).collect(), key=lambda r: (r[0] is not None, r[0])):  # two classes
+        confidence = F.when(F.col(group).eqNullSafe(r[0]), (F.col("r_") - before) / r[1]).otherwise(confidence)
+        before += r[1]
+    return cumulative(each, "o_", "one_", "r_").withColumn("confidence", confidence).drop("o_", "one_", "r_")
 
 
 MODELS = {
@@ -83,7 +85,7 @@ class TrainedClassifier(CellClassifier):
 
     @staticmethod
     def train(df: DataFrame, features: list[str], label: str, kind: str = "lr", scale: bool = True, grid: dict | None = None, folds: int = 5, k_best: int | None = None) -> tuple[TrainedClassifier, float]:
-        """The classifier fitted on all rows, and its balanced accuracy on a held-out 30 % of each class (by hash)."""
+        """The classifier fitted on all rows, and its balanced accuracy on about 30 % of each class, held out by a hash."""
         df = df.where(_all_present(features) & F.col(label).isNotNull()).withColumn("label_", F.col(label).cast("string"))
         indexer = StringIndexer(inputCol="label_", outputCol="label_index_", stringOrderType="alphabetAsc").fit(df)
         steps = [VectorAssembler(inputCols=features, outputCol="unselected_" if k_best else "raw_")]
@@ -92,8 +94,8 @@ class TrainedClassifier(CellClassifier):
         steps.append(StandardScaler(inputCol="raw_", outputCol="scaled_", withMean=scale, withStd=scale))
         model = MODELS[kind]("label_index_")
         data = indexer.transform(df)
-        w = Window.partitionBy("label_").orderBy(F.xxhash64(*features))
-        split = data.withColumn("r_", F.percent_rank().over(w))
+        # By a hash of the row: about that share of each class, and no class has to be sorted.
+        split = data.withColumn("r_", F.pmod(F.xxhash64(*features), F.lit(1000)) / 1000)
         judge = MulticlassClassificationEvaluator(labelCol="label_index_", metricName="weightedRecall")
         weights = split.groupBy("label_index_").agg(F.count("*").alias("n_"))
         split = split.join(F.broadcast(weights), "label_index_").withColumn("weight_", 1 / F.col("n_"))

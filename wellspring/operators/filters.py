@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wellspring.functions.stats import MAD_TO_STD, clean
+from wellspring.functions.stats import MAD_TO_STD, clean, exact_quantiles
 from wellspring.session import materialize, ship
 
 _COMPARE = {ast.Eq: lambda a, b: a == b, ast.Lt: lambda a, b: a < b, ast.LtE: lambda a, b: a <= b, ast.Gt: lambda a, b: a > b, ast.GtE: lambda a, b: a >= b}
@@ -271,8 +271,8 @@ def threshold_summary(before: DataFrame, after: DataFrame, class_col: str) -> Da
 def bounds(df: DataFrame, column: str, low: float | None = None, high: float | None = None, low_pct: float | None = None, high_pct: float | None = None) -> tuple[float, float]:
     """The open interval of a gate: the smaller of the lower limits, the larger of the upper; past the data where none is given."""
     p = [x for x in (low_pct, high_pct) if x is not None]
-    row = df.agg(F.min(clean(column)), F.max(clean(column)), *[F.percentile(clean(column), x / 100) for x in p]).first()
-    at = dict(zip(p, row[2:]))
+    row = df.agg(F.min(clean(column)), F.max(clean(column))).first()
+    at = dict(zip(p, exact_quantiles(df, column, [x / 100 for x in p]))) if p else {}
     lows = [x for x in (low, at.get(low_pct) if low_pct is not None else None) if x is not None]
     highs = [x for x in (high, at.get(high_pct) if high_pct is not None else None) if x is not None]
     first = -math.inf if row[0] is None else math.nextafter(float(row[0]), -math.inf)
@@ -304,10 +304,10 @@ def diverse_tiles(df: DataFrame, tile: str, original: str) -> DataFrame:
 
 def drop_low_seeds(df: DataFrame, score: str, keys: list[str], k: float = 3.0, min_keep: int = 5) -> DataFrame:
     """Without scores under median - k * 1.4826 * MAD, but never fewer than the min_keep best; as it is with so few, or with MAD 0."""
-    n, median = df.agg(F.count("*"), F.percentile(score, 0.5)).first()
-    if n <= min_keep:
+    (median,) = exact_quantiles(df, score, [0.5])
+    if median is None or df.limit(min_keep + 1).count() <= min_keep:
         return df
-    (mad,) = df.agg(F.percentile(F.abs(F.col(score) - median), 0.5)).first()
+    (mad,) = exact_quantiles(df, F.abs(F.col(score) - median), [0.5])
     if not mad:
         return df
     kept = df.where(F.col(score) >= median - k * MAD_TO_STD * mad)
@@ -342,7 +342,7 @@ def score_gate(df: DataFrame, score: str, probability: float | None = None, perc
     if probability is not None:
         df = df.where(s.isNull() | (s >= probability))
     if percentile is not None:
-        (low,) = df.agg(F.percentile(s, percentile / 100)).first()
+        (low,) = exact_quantiles(df, s, [percentile / 100])
         if low is not None:
             df = df.where(s.isNull() | (s >= low))
     return df
