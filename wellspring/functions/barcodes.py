@@ -46,11 +46,11 @@ def hamming(a: Column, b: Column) -> Column:
 def cycle_positions(map_length: int, recomb_length: int, order: str = "map_recomb", skip_map: list[int] | None = None, skip_recomb: list[int] | None = None) -> dict[str, int]:
     """First and last cycle (from 1) of the mapping and the recombination barcode in a read.
 
-    Skipped cycles are read past but not kept, so each part spans its length and the cycles skipped in it.
+    The lengths are of the designed prefixes; cycles that are skipped aren't sequenced, so each part is shorter by as many.
     """
     if order not in ("map_recomb", "recomb_map"):
         raise ValueError(f"unknown sequencing order {order!r}")
-    span = {"map": map_length + len(skip_map or []), "recomb": recomb_length + len(skip_recomb or [])}
+    span = {"map": map_length - len(skip_map or []), "recomb": recomb_length - len(skip_recomb or [])}
     first, second = order.split("_")
     out = {f"{first}_start": 1, f"{first}_end": span[first]}
     return out | {f"{second}_start": span[first] + 1, f"{second}_end": span[first] + span[second]}

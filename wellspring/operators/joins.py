@@ -63,15 +63,20 @@ def affine_by(df: DataFrame, rotation: str = "rotation", translation: str = "tra
     return df.withColumns({i: x * r(0, 0) + y * r(0, 1) + F.col(translation)[0], j: x * r(1, 0) + y * r(1, 1) + F.col(translation)[1]})
 
 
-def merge_by_alignment(phenotype: DataFrame, sbs: DataFrame, alignment: DataFrame, threshold: float = 2.0, keys: tuple[str, str] = ("plate", "well")) -> DataFrame:
+def merge_by_alignment(phenotype: DataFrame, sbs: DataFrame, alignment: DataFrame, threshold: float = 2.0, keys: tuple[str, str] = ("plate", "well"), warp: str | None = None, **warp_options) -> DataFrame:
     """Match table of two cell tables: phenotype positions through each (tile, site) pair's transformation, then mutual nearest.
 
-    phenotype: keys, tile, cell, i, j; sbs: keys, site, cell, i, j; alignment: keys, tile, site, rotation, translation.
+    phenotype: keys, tile, cell, i, j; sbs: keys, site, cell, i, j; alignment: keys, tile, site, rotation, translation. warp
+    (polynomial or thin_plate) refines the moved positions of each pair before they are matched.
     """
     a = alignment.select(*keys, "tile", "site", "rotation", "translation")
-    moved = affine_by(phenotype.join(a, [*keys, "tile"]))
-    moved = moved.select(*keys, "tile", "site", F.col("cell").alias("id"), "i", "j")
+    moved = affine_by(phenotype.join(a, [*keys, "tile"]).withColumns({"x": F.col("i").cast("double"), "y": F.col("j").cast("double")}))
+    moved = moved.select(*keys, "tile", "site", F.col("cell").alias("id"), "i", "j", "x", "y")
     other = sbs.join(a.select(*keys, "tile", "site"), [*keys, "site"]).select(*keys, "tile", "site", F.col("cell").alias("id"), "i", "j")
+    if warp:
+        from wellspring.operators.registration import warp_by_pair
+
+        moved = warp_by_pair(moved, other, [*keys, "tile", "site"], threshold, model=warp, **warp_options)
     met = nearest_mutual(moved, other, threshold, [*keys, "tile", "site"])
     back = phenotype.select(*keys, "tile", F.col("cell").alias("id_0"), F.col("i").alias("i_raw"), F.col("j").alias("j_raw"))
     met = met.drop("i_0", "j_0").join(back, [*keys, "tile", "id_0"])

@@ -154,7 +154,8 @@ def ransac_affine(x: np.ndarray, y: np.ndarray, threshold: float = 2.0, trials:
 def evaluate_match(a: pd.DataFrame, b: pd.DataFrame, hash_threshold: float = 0.3, point_threshold: float = 2.0, near: float = 50.0, seed: int = 42) -> tuple[np.ndarray | None, np.ndarray | None, float]:
     """Rotation, translation and score of two hash tables; score -1 where fewer than five hashes meet.
 
-    The score is the share of a's centres, among those that fall within `near` of one of b's, that fall within point_threshold.
+    The score is the share of b's centres, among those that have one of a's moved centres within `near`, that have one within
+    point_threshold. That distance bounds the model's residuals too: a triple of wrong matches can't win by being vague.
     """
     if not len(a) or not len(b):
         return None, None, -1.0
@@ -174,7 +175,7 @@ def evaluate_match(a: pd.DataFrame, b: pd.DataFrame, hash_threshold: float = 0.3
         return None, None, -1.0
     rotation, translation, _ = model
     moved = ca @ rotation.T + translation
-    low = np.array([np.sqrt(((cb - m) ** 2).sum(1).min()) for m in moved])
+    low = np.array([np.sqrt(((moved - c) ** 2).sum(1).min()) for c in cb])
     close = low < near
     return rotation, translation, float((low[close] < point_threshold).mean()) if close.any() else 0.0
 
@@ -235,22 +236,125 @@ def multistep_alignment(hashes_0: DataFrame, hashes_1: DataFrame, where_0: DataF
     return hashes_0.sparkSession.createDataFrame(rows, schema)
 
 
-def refine_warp(x: np.ndarray, y: np.ndarray, predicted: np.ndarray, threshold: float, degree: int = 2, rounds: int = 2, least: int = 30) -> np.ndarray:
-    """Predictions refitted by a polynomial on the pairs that lie within the threshold, where there are enough."""
+def thin_plate(x: np.ndarray, y: np.ndarray, at: np.ndarray, smoothing: float = 10.0) -> np.ndarray:
+    """Values at `at` of the smoothing thin-plate spline through (x, y): kernel r^2 log r and a plane."""
+
+    def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        r2 = ((a[:, None] - b[None]) ** 2).sum(-1)
+        return 0.5 * r2 * np.log(np.where(r2 > 0, r2, 1))
+
+    plane = lambda p: np.column_stack([np.ones(len(p)), p - x.mean(0)])
+    n = len(x)
+    left = np.zeros((n + 3, n + 3))
+    left[:n, :n], left[:n, n:], left[n:, :n] = kernel(x, x) + smoothing * np.eye(n), plane(x), plane(x).T
+    w = np.linalg.lstsq(left, np.vstack([y, np.zeros((3, y.shape[1]))]), rcond=None)[0]
+    return kernel(at, x) @ w[:n] + plane(at) @ w[n:]
+
+
+def refine_warp(x: np.ndarray, y: np.ndarray, predicted: np.ndarray, threshold: float, degree: int = 2, rounds: int = 2, least: int = 30, model: str = "polynomial", smoothing: float = 10.0, most: int = 700) -> np.ndarray:
+    """Predictions of x refitted by a warp on those pairs where a point of y has its nearest prediction within the threshold;
+    as they are where fewer than `least` have. polynomial: of x, of this degree; thin_plate: of the predictions, on at most
+    `most` anchors, a seeded choice."""
+
     def terms(p: np.ndarray) -> np.ndarray:
         p = (p - x.mean(0)) / np.maximum(np.ptp(x, axis=0), 1e-9)
         return np.column_stack([p[:, 0] ** a * p[:, 1] ** b for a in range(degree + 1) for b in range(degree + 1 - a)])
 
     for _ in range(rounds):
-        d = np.sqrt(((predicted[:, None] - y[None]) ** 2).sum(-1))
-        i, j = np.arange(len(x)), d.argmin(1)
-        sure = (d.argmin(0)[j] == i) & (d[i, j] < threshold)
+        d = np.sqrt(((y[:, None] - predicted[None]) ** 2).sum(-1))
+        nearest, sure = d.argmin(1), d.min(1) < threshold
         if sure.sum() < least:
             break
-        predicted = terms(x) @ np.linalg.lstsq(terms(x[sure]), y[j[sure]], rcond=None)[0]
+        if model == "thin_plate":
+            pick = np.flatnonzero(sure)
+            if len(pick) > most:
+                pick = np.sort(np.random.default_rng(0).choice(pick, most, replace=False))
+            predicted = thin_plate(predicted[nearest[pick]], y[pick], predicted, smoothing)
+        else:
+            predicted = terms(x) @ np.linalg.lstsq(terms(x[nearest[sure]]), y[sure], rcond=None)[0]
     return predicted
 
 
+def warp_by_pair(moved: DataFrame, other: DataFrame, keys: list[str], threshold: float, **options) -> DataFrame:
+    """moved (keys, id, x and y before, i and j after an alignment) with i and j refined on other (keys, i, j), pair by pair.
+
+    A pair of tiles is a bounded group; the two tables meet in a co-group.
+    """
+    ship(moved.sparkSession)
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if len(a) and len(b):
+            a = a.copy()
+            a[["i", "j"]] = refine_warp(a[["x", "y"]].to_numpy(float), b[["i", "j"]].to_numpy(float), a[["i", "j"]].to_numpy(float), threshold, **options)
+        return a
+
+    return moved.groupBy(*keys).cogroup(other.groupBy(*keys)).applyInPandas(run, moved.schema)
+
+
+def alignment_parameters(aligned: DataFrame, keys: list[str], scale: float = 1.0, approach: str = "triangle_hash", kind: str = "affine", reason: str = "no_match") -> DataFrame:
+    """One flat row for each alignment: rotation_flat, translation, scale, score, determinant, kind and approach.
+
+    An alignment without a model becomes the identity, of kind failed_{reason}.
+    """
+    failed = F.col("rotation").isNull()
+    one = lambda *x: F.array(*map(F.lit, x))
+    flat = F.when(failed, one(1.0, 0.0, 0.0, 1.0)).otherwise(F.flatten("rotation"))
+    out = aligned.select(*keys, flat.alias("rotation_flat"), F.when(failed, one(0.0, 0.0)).otherwise(F.col("translation")).alias("translation"), F.lit(float(scale)).alias("scale"), F.greatest(F.coalesce("score", F.lit(0.0)), F.lit(0.0)).alias("score"), failed.alias("f_"))
+    r = lambda k: F.col("rotation_flat")[k]
+    out = out.withColumns({"determinant": r(0) * r(3) - r(1) * r(2), "kind": F.when(F.col("f_"), F.lit(f"failed_{reason}")).otherwise(F.lit(kind)), "approach": F.when(F.col("f_"), F.lit("identity")).otherwise(F.lit(approach))})
+    return out.drop("f_")
+
+
+def alignment_summary(parameters: DataFrame, hashes_0: DataFrame, hashes_1: DataFrame, keys: list[str], threshold: float = 0.1, overlap: float | None = None) -> DataFrame:
+    """A row for each alignment to report: status, rounded parameters, and the triangles on either side."""
+    count = lambda df, name: df.groupBy(*keys).agg(F.count("*").alias(name))
+    out = parameters.join(count(hashes_0, "triangles_0"), keys, "left").join(count(hashes_1, "triangles_1"), keys, "left").na.fill(0, ["triangles_0", "triangles_1"])
+    r = {f"r{i}{j}": F.round(F.col("rotation_flat")[2 * i + j], 6) for i in range(2) for j in range(2)}
+    good = ~F.col("kind").startswith("failed") & (F.col("score") >= threshold)
+    more = {"status": F.when(good, "success").otherwise("failed"), "t0": F.round(F.col("translation")[0], 3), "t1": F.round(F.col("translation")[1], 3), "overlap": F.lit(None if overlap is None else round(overlap, 3)).cast("double")}
+    out = out.withColumns(r | more).withColumns({"score": F.round("score", 3), "determinant": F.round("determinant", 6), "scale": F.round("scale", 6)})
+    return out.drop("rotation_flat", "translation")
+
+
+def align_regionally(cells_0: DataFrame, cells_1: DataFrame, keys: list[str], size: float, score: float = 0.1, least: int = 100, attempts: int = 3, growth: float = 1.5, **options) -> DataFrame:
+    """keys, rotation, translation, score, determinant, region and attempts: each well aligned by the triangles of a square in
+    the middle of what both tables cover. A well that fails gets a larger square, up to 0.8 of the common extent.
+
+    cells_0 and cells_1: keys, i, j, in one scale. All wells of an attempt are aligned at once; the driver sees a row for each.
+    """
+    box = lambda df, k: df.groupBy(*keys).agg(*[f(c).alias(f"{n}_{c}_{k}") for c in "ij" for n, f in (("low", F.min), ("high", F.max))])
+    both = box(cells_0, 0).join(box(cells_1, 1), keys)
+    low = {c: F.greatest(f"low_{c}_0", f"low_{c}_1") for c in "ij"}
+    high = {c: F.least(f"high_{c}_0", f"high_{c}_1") for c in "ij"}
+    extent = F.least(*[F.col(f"high_{c}_{k}") - F.col(f"low_{c}_{k}") for c in "ij" for k in (0, 1)])
+    wells = materialize(both.select(*keys, *[((low[c] + high[c]) / 2).alias(f"m_{c}") for c in "ij"], (0.8 * extent).alias("most")), "wells")
+    done: DataFrame | None = None
+    for k in range(1, attempts + 1):
+        region = size * growth ** (k - 1)
+        todo = wells.where(F.col("most") >= region)
+        if done is not None:
+            todo = todo.join(done.select(*keys), keys, "left_anti")
+        todo = materialize(todo, "wells_left")
+        if todo.isEmpty():
+            break
+
+        def inside(df: DataFrame) -> DataFrame:
+            near = df.join(todo, keys).where((F.abs(F.col("i") - F.col("m_i")) <= region / 2) & (F.abs(F.col("j") - F.col("m_j")) <= region / 2))  # noqa: B023
+            return hash_cells(near.withColumn("tile", F.lit(0)), [*keys, "tile"])
+
+        a, b = materialize(inside(cells_0), "hashes"), materialize(inside(cells_1), "hashes")
+        count = lambda df, n: df.groupBy(*keys).agg(F.count("*").alias(n))
+        enough = count(a, "n_0").join(count(b, "n_1"), keys).where((F.col("n_0") >= least) & (F.col("n_1") >= least))
+        pairs = enough.select(*keys, F.lit(0).alias("tile"), F.lit(0).alias("site"))
+        found = align_pairs(a, b, pairs, keys, **options).where(F.col("score") >= score)
+        found = materialize(found.drop("tile", "site").withColumns({"region": F.lit(float(region)), "attempts": F.lit(k)}), "aligned")
+        done = found if done is None else done.unionByName(found)
+    if done is None:
+        types = dict(cells_0.dtypes)
+        return wells.sparkSession.createDataFrame([], ", ".join([*[f"`{c}` {types[c]}" for c in keys], "rotation array<array<double>>, translation array<double>, score double, determinant double, region double, attempts int"]))
+    return done
+
+
 def solve_positions(edges: pd.DataFrame, tiles: list[int]) -> pd.DataFrame:
     """Tile positions by least squares of pairwise shifts (a, b, di, dj), the first tile at the origin."""
     at = {t: k for k, t in enumerate(tiles)}
