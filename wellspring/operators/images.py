@@ -113,6 +113,16 @@ def illumination(images: list[np.ndarray], smooth: int = 5) -> np.ndarray:
     return np.maximum(flat / np.maximum(low, 1e-12), 1)
 
 
+def correct_illumination(x: np.ndarray, field: np.ndarray | None = None, project: bool = False, background: Callable[[np.ndarray], np.ndarray] | None = None) -> np.ndarray:
+    """Intensities over the illumination field as 16-bit whole numbers; projected to the brightest plane of the first axis
+    before, where asked for, and without a background that a function gives, after."""
+    if project:
+        x = x.max(axis=0)
+    if field is not None:
+        x = (x / field).astype(np.uint16)
+    return x if background is None else np.maximum(x - background(x), 0).astype(np.uint16)
+
+
 def phase_offset(a: np.ndarray, b: np.ndarray, factor: int = 1) -> tuple[float, float]:
     """Shift (i, j) that brings b onto a, from the peak of the phase correlation; factor > 1 refines by a parabola to 1 / factor."""
     c = np.fft.fft2(a) * np.conj(np.fft.fft2(b))

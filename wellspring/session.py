@@ -30,8 +30,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is what the cluster names in spark.checkpoint.dir, else what the context already uses.
-    Only where neither is set (a local session) is a temporary folder made.
+    It is what the cluster names in spark.checkpoint.dir, else what the context already uses. Where neither is set, a
+    local session gets a temporary folder; on a cluster that would be the driver's own disk, so it's an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     context = spark.sparkContext._jsc.sc()
@@ -40,6 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(named)
         return named.rstrip("/")
     if not context.getCheckpointDir().isDefined():
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wellspring-"))
     return context.getCheckpointDir().get().rstrip("/")
 
