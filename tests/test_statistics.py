@@ -241,3 +241,94 @@ def test_empty_tables(spark):
 
 def test_pandas_input_is_plain():
     assert isinstance(registration.triangle_hashes(np.zeros((4, 2))), pd.DataFrame)
+
+
+@pytest.mark.parametrize("rows", [50_000, 40])
+def test_exact_quantiles(spark, monkeypatch, rows):
+    """The same whether values are counted at once or narrowed down to."""
+    monkeypatch.setattr(stats, "QUANTILE_ROWS", rows)
+    monkeypatch.setattr(stats, "QUANTILE_STEPS", 20)
+    rng = np.random.default_rng(3)
+    shares = [0.0, 0.013, 0.25, 0.5, 0.731, 0.95, 1.0]
+    for x in (rng.standard_normal(997), np.round(rng.random(500), 1), np.repeat([1.0, 5.0], [400, 1]), np.array([2.5]), np.append(rng.random(300), np.nan)):
+        df = spark.createDataFrame([(float(v),) for v in x], "x double")
+        assert np.allclose(stats.exact_quantiles(df, "x", shares), np.quantile(x[~np.isnan(x)], shares), rtol=1e-12)
+    assert stats.exact_quantiles(spark.createDataFrame([(None,)], "x double"), "x", [0.5]) == [None]
+
+
+def test_bootstrap_values_joined_or_broadcast(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    controls = spark.createDataFrame([(f"c{i % 7}", float(np.round(rng.random(), 1)), float(i)) for i in range(300)] + [("c1", None, 1.0)], "k string, x double, y double")
+    constructs = spark.createDataFrame([("a", 5), ("b", 12), ("c", 0)], "k string, cell_count int")
+    get = lambda: sorted((r.k, r.sim, tuple(r.x)) for r in bootstrap.construct_bootstrap(constructs, controls, ["x", "y"], "k", sims=30).collect())
+    one = get()
+    monkeypatch.setattr(bootstrap, "BROADCAST_BYTES", 0)
+    assert one == get() and len(one) == 60
+    assert bootstrap.construct_bootstrap(constructs, controls.where("x > 9"), ["x"], "k").count() == 0
+
+
+def test_warps(spark):
+    rng = np.random.default_rng(5)
+    x = rng.random((300, 2)) * 500
+    bend = lambda p: p + np.column_stack([3 * np.sin(p[:, 1] / 150), 2 * np.cos(p[:, 0] / 200)])
+    y = bend(x)
+    for model in ("polynomial", "thin_plate"):
+        fine = registration.refine_warp(x, y, x, 5.0, model=model, degree=3)
+        assert np.abs(fine - y).max() < 0.5 * np.abs(x - y).max()
+    assert (registration.refine_warp(x[:20], y[:20], x[:20], 5.0) == x[:20]).all()
+    keys = "plate string, well string, tile int, cell int, i double, j double"
+    a = spark.createDataFrame([("p", "w", 1, k, float(p[0]), float(p[1])) for k, p in enumerate(x)], keys)
+    b = spark.createDataFrame([("p", "w", 9, k, float(p[0]), float(p[1])) for k, p in enumerate(y)], keys.replace("tile", "site"))
+    al = spark.createDataFrame([("p", "w", 1, 9, [[1.0, 0.0], [0.0, 1.0]], [0.0, 0.0])], "plate string, well string, tile int, site int, rotation array<array<double>>, translation array<double>")
+    from wellspring.operators import joins
+
+    plain, warped = (joins.merge_by_alignment(a, b, al, 4.0, warp=w).where("cell_0 = cell_1") for w in (None, "polynomial"))
+    mean = lambda df: df.agg(F.avg("distance")).first()[0]
+    assert warped.count() >= plain.count() and mean(warped) < 0.5 * mean(plain)
+
+
+def test_regional_alignment(spark):
+    rng = np.random.default_rng(6)
+    x = rng.random((700, 2)) * 1000
+    turn = np.array([[math.cos(0.05), -math.sin(0.05)], [math.sin(0.05), math.cos(0.05)]])
+    y = (x - 500) @ turn.T + 500 + [20.0, -10.0]
+    frame = lambda p: spark.createDataFrame([("w", k, float(v[0]), float(v[1])) for k, v in enumerate(p)], "well string, cell int, i double, j double")
+    r = registration.align_regionally(frame(x), frame(y), ["well"], 250.0, least=60).collect()
+    assert len(r) == 1 and r[0].score > 0.5 and r[0].attempts >= 1 and np.allclose(r[0].rotation, turn, atol=1e-3)
+    far = registration.align_regionally(frame(x), frame(rng.random((50, 2))), ["well"], 250.0)
+    assert far.count() == 0 and far.columns == ["well", "rotation", "translation", "score", "determinant", "region", "attempts"]
+
+
+def test_tested_screen(spark):
+    """The whole plan, with bootstrap and clusters, on the small tables."""
+    import dataclasses
+
+    from wellspring.plans import screen
+
+    c = screen.ScreenConfig(features=("price", "size"), simulations=20)
+    out = screen.tested_genes(screen.example(spark, "/root/testdata/sf0.001"), dataclasses.replace(c))
+    rows = out.collect()
+    assert {r.gene_symbol_0 for r in rows} == {"nontargeting", "gene_C0", "gene_C1", "gene_G0", "gene_G1"} and all(0 <= r.price_pval <= 1 for r in rows)
+
+
+def test_objects_of_masks(spark):
+    from wellspring.operators import images, objects
+
+    a, b = np.zeros((6, 6), int), np.zeros((6, 6), int)
+    a[1:3, 1:5], b[0:2, 0:2], b[4:6, 4:6] = 1, 1, 2
+    image = np.arange(72.0).reshape(2, 6, 6)
+    rows = [(f"P-1_T-{t}.npy", images.encode(m), images.encode(image)) for t, m in enumerate((a, b))]
+    px = objects.pixels(spark.createDataFrame(rows, "path string, content binary, image binary"), ["c0", "c1"])
+    f = {(r.path[6:7], r.label): r for r in objects.feature_table(px, ["path"], objects.channel_features(["c0", "c1"])).collect()}
+    assert f["0", 1].area == 8 and f["0", 1].bounds == [1, 1, 3, 5] and f["0", 1].c0_mean == image[0][a == 1].mean() and f["0", 1].c0_c1_correlation == pytest.approx(1.0)
+    tiles = px.withColumns({"tile": F.substring("path", 7, 1).cast("int"), "well": F.lit("w")})
+    shifts = spark.createDataFrame([("w", 0, 0, 0), ("w", 1, 2, 3)], "well string, tile int, shift_i int, shift_j int")
+    canvas = np.zeros((8, 9), int)
+    canvas[0:6, 0:6][a > 0] = 1
+    later = canvas[2:8, 3:9]
+    later[b > 0] = b[b > 0] + 1
+    got = {r.stitched_cell_id: (r.tile, r.cell, r.area, r.i, r.j) for r in objects.stitched_cells(tiles, shifts, ["well"]).collect()}
+    want = {k: (int(k > 1), 1 if k < 3 else 2, int((canvas == k).sum()), *np.argwhere(canvas == k).mean(0)) for k in (1, 2, 3)}
+    assert got == want
+    assert objects.stitched_cells(tiles.where("label > 9"), shifts, ["well"]).count() == 0
+    assert (images.correct_illumination(np.full((2, 3, 3), 10.0), np.full((3, 3), 4.0), project=True) == 2).all()

@@ -242,7 +242,8 @@ def seed_mad_filter(spark, d):
     return filters.drop_low_seeds(table(spark, d, "supplier"), "s_acctbal", ["s_suppkey"], k=0.5).select("s_suppkey")
 
 
-@query()
+@query("""SELECT 'a' AS name, 'bigint' AS type UNION ALL SELECT 'b', CASE WHEN bool_and(p_size % 1 = 0) THEN 'bigint' ELSE 'double' END FROM part UNION ALL SELECT 'c', CASE WHEN bool_and(p_retailprice % 1 = 0) THEN 'bigint' ELSE 'double' END FROM part
+UNION ALL SELECT 'e', 'boolean' UNION ALL SELECT 'p_name', CASE WHEN bool_and(try_cast(p_name AS DOUBLE) IS NOT NULL) THEN 'double' ELSE 'string' END FROM part""")
 def infer_types(spark, d):
     df = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("a"), F.col("p_size").cast("double").alias("b"), F.col("p_retailprice").cast("string").alias("c"), F.when(F.col("p_size") > 10, "True").otherwise("false").alias("e"), "p_name")
     return spark.createDataFrame(sources.infer_dtypes(df).dtypes, "name string, type string")
@@ -273,21 +274,38 @@ def pca_embed(spark, d):
     return out.select("vec_id", F.transform("x", lambda v: F.round(v, 3)).alias("x"))
 
 
+@query("""WITH l AS (SELECT vec_id, generate_subscripts(embedding, 1) AS k, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings), s AS (SELECT k, avg(v) AS m, stddev_pop(v) AS sd FROM l GROUP BY 1)
+SELECT vec_id, round(sqrt(sum(pow((v - m) / CASE WHEN sd = 0 THEN 1 ELSE sd END, 2))), 4) AS length FROM l JOIN s USING (k) GROUP BY 1""")
+def pca_lengths(spark, d):
+    """With all components kept a rotation: lengths stay those of the scaled vectors."""
+    out, share = normalise.pca(_vectors(spark, d), "x", len(_vectors(spark, d).first().x))
+    return out.select("vec_id", F.round(F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)), 4).alias("length"))
+
+
 @query()
 def tvn(spark, d):
     return normalise.tvn(_vectors(spark, d), "x", F.col("gene").isin("gene_0", "gene_1", "gene_2", "gene_3", "gene_4"), "batch").select("vec_id", "batch", F.transform("x", lambda v: F.round(v, 3)).alias("x"))
 
 
-@query()
+@query("""WITH v AS (SELECT vec_id, CASE WHEN vec_id % 2 = 0 THEN 'a' ELSE 'b' END AS batch, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y, CAST(embedding[3] AS DOUBLE) AS z FROM embeddings),
+d AS (SELECT a.batch, a.vec_id AS i, b.vec_id AS j, sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2)) AS d FROM v a JOIN v b ON a.batch = b.batch AND a.vec_id <> b.vec_id),
+n AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY i ORDER BY d, j) <= 20), k AS (SELECT i AS j, max(d) AS k FROM n GROUP BY 1), r AS (SELECT batch, i, 1 / (avg(greatest(d, k)) + 1e-10) AS lrd FROM n JOIN k USING (j) GROUP BY 1, 2),
+f AS (SELECT n.batch, n.i, avg(o.lrd) / max(r.lrd) AS f FROM n JOIN r o ON o.i = n.j JOIN r ON r.i = n.i GROUP BY 1, 2), c AS (SELECT batch, quantile_cont(f, 0.95) AS cut FROM f GROUP BY 1)
+SELECT vec_id, v.batch, x AS cell_c0_mean, y AS cell_c1_mean, z AS cell_c2_mean FROM v JOIN f ON f.i = vec_id JOIN c ON c.batch = v.batch WHERE f <= cut""")
 def lof_filter(spark, d):
     v = _vectors(spark, d).select("vec_id", "batch", *[F.col("x")[i].alias(f"cell_c{i}_mean") for i in range(3)])
     return filters.intensity_filter(v, [f"cell_c{i}_mean" for i in range(3)], ["c0", "c1", "c2"], 0.05, ["batch"], keys=["vec_id"])
 
 
-@query()
+_KNN = ", ".join(f"CASE WHEN vec_id % {7 + i} <> 0 THEN CAST(embedding[{i + 1}] AS DOUBLE) END AS f{i}" for i in range(4))
+
+
+@query(f"""WITH v AS (SELECT vec_id, {_KNN} FROM embeddings), d AS (SELECT a.vec_id AS i, b.vec_id AS j, {" + ".join(f"CASE WHEN a.f{i} IS NOT NULL AND b.f{i} IS NOT NULL THEN pow(a.f{i} - b.f{i}, 2) ELSE 0 END" for i in range(4))} AS s, {" + ".join(f"CASE WHEN a.f{i} IS NOT NULL AND b.f{i} IS NOT NULL THEN 1 ELSE 0 END" for i in range(4))} AS n FROM v a, v b WHERE a.f0 IS NULL OR a.f1 IS NULL OR a.f2 IS NULL OR a.f3 IS NULL),
+l AS (SELECT i, j, s * 4 / n AS d FROM d WHERE n > 0), {", ".join(f"k{c} AS (SELECT i, avg(f{c}) AS m FROM (SELECT i, f{c} FROM l JOIN v ON vec_id = j AND f{c} IS NOT NULL QUALIFY row_number() OVER (PARTITION BY i ORDER BY d, j) <= 5) GROUP BY 1)" for c in range(4))}
+SELECT v.vec_id, {", ".join(f"round(coalesce(v.f{c}, k{c}.m, (SELECT avg(f{c}) FROM v)), 6) AS f{c}" for c in range(4))} FROM v {" ".join(f"LEFT JOIN k{c} ON k{c}.i = v.vec_id" for c in range(4))}""")
 def knn_impute(spark, d):
     v = _vectors(spark, d).select("vec_id", *[F.when(F.pmod("vec_id", F.lit(7 + i)) != 0, F.col("x")[i]).alias(f"f{i}") for i in range(4)])
-    return filters.impute_knn(v, [f"f{i}" for i in range(4)], ["vec_id"])
+    return rounded(filters.impute_knn(v, [f"f{i}" for i in range(4)], ["vec_id"]), 6)
 
 
 @query()

@@ -91,12 +91,34 @@ def normalized_bases(spark, d):
     return rounded(sbs.normalize_bases(_spots(spark, d)).select("read", "cycle", "channel", "intensity"), 6)
 
 
-@query()
+def _minor(m: list[list[str]]) -> str:
+    """Determinant of a matrix of SQL expressions, by its first row."""
+    if len(m) == 1:
+        return m[0][0]
+    return "(" + " + ".join(f"{'-' if k % 2 else ''}{m[0][k]} * {_minor([row[:k] + row[k + 1 :] for row in m[1:]])}" for k in range(len(m))) + ")"
+
+
+def _corrected_sql(picked: str) -> str:
+    """Reads after the correction by the inverse of the normalised median vectors. picked: tile, ch (from 1) and the x of the spots they're of."""
+    n = range(4)
+    m = [[f"m{r}{c}" for c in n] for r in n]
+    median = ", ".join(f"median(x[{r + 1}]) FILTER (ch = {c + 1}) AS v{r}{c}" for r in n for c in n)
+    normal = ", ".join(f"v{r}{c} / CASE WHEN {' + '.join(f'v{i}{c}' for i in n)} = 0 THEN 1 ELSE {' + '.join(f'v{i}{c}' for i in n)} END AS m{r}{c}" for r in n for c in n)
+    cofactor = lambda r, c: f"{'-' if (r + c) % 2 else ''}{_minor([row[:c] + row[c + 1 :] for k, row in enumerate(m) if k != r])}"
+    inverse = ", ".join(f"{cofactor(c, r)} / {_minor(m)} AS w{r}{c}" for r in n for c in n)
+    dot = ", ".join(f"trunc({' + '.join(f'w{r}{c} * x[{c + 1}]' for c in n)})" for r in n)
+    return f"""WITH {_SPOTS_SQL}, p AS ({picked}), med AS (SELECT tile, {median} FROM p GROUP BY tile), nor AS (SELECT tile, {normal} FROM med), w AS (SELECT tile, {inverse} FROM nor),
+k AS (SELECT read, cycle, [{dot}] AS x FROM s JOIN w USING (tile)), o AS (SELECT read, cycle, ['A', 'C', 'G', 'T'][list_position(x, list_max(x))] AS base, list_reverse_sort(x) AS y FROM k),
+q AS (SELECT *, greatest(0, least(1, 2 * (1 - ln(2 + least(abs(y[1]), abs(y[2]))) / ln(2 + greatest(abs(y[1]), abs(y[2])))))) AS q FROM o)
+SELECT read, string_agg(base, '' ORDER BY cycle) AS barcode, round(min(q), 5) AS q_min FROM q GROUP BY read"""
+
+
+@query(_corrected_sql("SELECT tile, x, list_position(x, list_max(x)) AS ch FROM s WHERE read % 9 > 0"))
 def corrected_reads_median(spark, d):
     return rounded(sbs.call_reads(_spots(spark, d), list("ACGT"), "median").select("read", "barcode", "q_min"), 5)
 
 
-@query()
+@query(_corrected_sql("SELECT tile, x, ch FROM (SELECT *, quantile_cont(share, 0.95) OVER (PARTITION BY tile, ch) AS cut FROM (SELECT tile, x, unnest([1, 2, 3, 4]) AS ch, unnest(list_transform(x, lambda v: v / list_sum(x))) AS share FROM s)) WHERE share >= cut"))
 def corrected_reads_percentile(spark, d):
     return rounded(sbs.call_reads(_spots(spark, d), list("ACGT"), "percentile", only_in_cells=False).select("read", "barcode", "q_min"), 5)
 
@@ -275,8 +297,9 @@ def nn_mutual(spark, d):
     return rounded(joins.nearest_mutual(*_points(spark, d), 40, ["well"]).select("well", "id_0", "id_1", "distance"), 6)
 
 
-@query()
+@query("SELECT s_suppkey AS cell_0, s_suppkey AS cell_1, 0e0 AS distance FROM supplier")
 def triangle_alignment(spark, d):
+    """The second table is the first one turned and moved: every cell meets itself."""
     import math
 
     a = table(spark, d, "supplier").selectExpr("'P1' AS plate", "'A1' AS well", "1 AS tile", "s_suppkey AS cell", "s_suppkey * 53 % 991 + 0.25D AS i", "(s_acctbal * 3) % 877 AS j")
@@ -302,7 +325,11 @@ def _enrichment(spark, d):
     return cluster.group_enrichment(c.select(F.col("c_custkey").alias("gene"), F.col("c_mktsegment").alias("cluster")), c.select(F.col("c_custkey").alias("gene"), F.col("c_nationkey").alias("group")))
 
 
-@query()
+@query("""WITH c AS (SELECT c_custkey AS gene, c_mktsegment AS cluster FROM customer), g AS (SELECT c_custkey AS gene, c_nationkey AS grp FROM customer), n AS (SELECT count(DISTINCT gene) AS n FROM c), sc AS (SELECT cluster, count(*) AS nc FROM c GROUP BY 1), sg AS (SELECT grp, count(*) AS ng FROM g GROUP BY 1),
+b AS (SELECT cluster, grp, count(*) AS a FROM c JOIN g USING (gene) GROUP BY 1, 2), t AS (SELECT cluster, grp, coalesce(a, 0) AS a, nc, ng, n FROM sc CROSS JOIN sg CROSS JOIN n LEFT JOIN b USING (cluster, grp)),
+k AS (SELECT *, unnest(range(greatest(0, nc + ng - n), least(nc, ng) + 1)) AS k FROM t), l AS (SELECT *, lgamma(nc + 1) - lgamma(k + 1) - lgamma(nc - k + 1) + lgamma(n - nc + 1) - lgamma(ng - k + 1) - lgamma(n - nc - ng + k + 1) - lgamma(n + 1) + lgamma(ng + 1) + lgamma(n - ng + 1) AS lp FROM k),
+o AS (SELECT *, max(lp) FILTER (k = a) OVER (PARTITION BY cluster, grp) AS here FROM l), p AS (SELECT cluster, grp, least(1.0, sum(exp(lp)) FILTER (lp <= here + 1e-7)) AS p FROM o GROUP BY 1, 2), r AS (SELECT *, p * count(*) OVER (PARTITION BY cluster) / row_number() OVER (PARTITION BY cluster ORDER BY p, grp) AS v FROM p),
+f AS (SELECT *, least(1.0, min(v) OVER (PARTITION BY cluster ORDER BY p DESC, grp DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS fdr FROM r) SELECT cluster, grp AS "group", round(p, 6) AS p, round(fdr, 6) AS fdr, fdr < 0.05 AS enriched FROM f""")
 def group_fisher(spark, d):
     return rounded(_enrichment(spark, d).select("cluster", "group", "p", "fdr", "enriched"), 6)
 
@@ -372,8 +399,14 @@ def diff_robust_z(spark, d):
     return rounded(out.select("feature", "test_center", "control_center", "effect"), 6)
 
 
-@query()
+@query(f"""WITH {CELLS_SQL}, s AS (SELECT gene = 'Brand#25' AS t, q, price, tax FROM cells WHERE gene LIKE 'Brand#1%' OR gene = 'Brand#25'), l AS (SELECT t, 'q' AS feature, q AS v FROM s UNION ALL SELECT t, 'price', price FROM s UNION ALL SELECT t, 'tax', tax FROM s),
+g AS (SELECT feature, count(*) FILTER (t) AS n1, avg(v) FILTER (t) AS m1, var_samp(v) FILTER (t) AS v1, count(*) FILTER (NOT t) AS n2, avg(v) FILTER (NOT t) AS m2, var_samp(v) FILTER (NOT t) AS v2 FROM l GROUP BY 1),
+w AS (SELECT *, (m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2)) AS effect, (m1 - m2) / sqrt(v1 / n1 + v2 / n2) AS statistic, pow(v1 / n1 + v2 / n2, 2) / (pow(v1 / n1, 2) / (n1 - 1) + pow(v2 / n2, 2) / (n2 - 1)) AS df FROM g),
+i AS (SELECT *, unnest(range(0, 4001)) AS k FROM w), e AS (SELECT feature, sum(CASE WHEN k IN (0, 4000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END * exp(-(df + 1) / 2 * ln(1 + pow(abs(statistic) * k / 4000, 2) / df))) * max(abs(statistic)) / 12000 * exp(max(lgamma((df + 1) / 2) - lgamma(df / 2))) / sqrt(max(df) * pi()) AS half FROM i GROUP BY 1),
+p AS (SELECT *, greatest(0.0, 1 - 2 * half) AS p FROM w JOIN e USING (feature)), r AS (SELECT *, p * 3 / row_number() OVER (ORDER BY p, feature) AS x FROM p), f AS (SELECT *, least(1.0, min(x) OVER (ORDER BY p DESC, feature DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS fdr FROM r)
+SELECT feature, round(m1, 6) AS test_center, round(m2, 6) AS control_center, round(effect, 6) AS effect, round(statistic, 6) AS statistic, round(p, 6) AS p, round(fdr, 6) AS fdr, fdr < 0.05 AND abs(effect) >= 1 AS significant FROM f""")
 def diff_tests(spark, d):
+    """The t distribution's tail is integrated by Simpson's rule on the SQL side."""
     return rounded(cluster.differential_analysis(cells(spark, d), ["q", "price", "tax"], F.col("gene") == "Brand#25", F.col("gene").startswith("Brand#1"), nonparametric=False), 6)
 
 
@@ -428,14 +461,29 @@ def parameter_search(spark, d):
 @query("""SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
 def streamed_counts(spark, d):
     """The same counts from a stream over the file, read to its end."""
-    import tempfile
+    import uuid
 
     from wellspring.session import shared_dir
     from wellspring.streaming import ingest
 
     schema = table(spark, d, "events").schema
-    root = f"{shared_dir(spark)}/stream-{next(tempfile._get_candidate_names())}"
+    root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     stream = ingest.new_rows(spark, f"{d}/events.parquet*", schema, ["event_id"])
     ingest.run_available(stream, ingest.append_batches(f"{root}/rows"), f"{root}/checkpoint").awaitTermination()
     rows = spark.read.parquet(f"{root}/rows")
     return rows.groupBy(F.date_trunc("hour", "ts").alias("hour"), "event_type").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT event_id, user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1""")
+def streamed_cells(spark, d):
+    """The last event of each user, upserted from a stream whose state is bounded by a watermark."""
+    import uuid
+
+    from wellspring.session import shared_dir
+    from wellspring.streaming import ingest
+
+    root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    stream = ingest.new_rows(spark, f"{d}/events.parquet*", table(spark, d, "events").schema, ["event_id"], time="ts", late="30 days")
+    ingest.run_available(stream, ingest.upsert_batches(f"{root}/cells", ["user_id"], ["ts", "event_id"]), f"{root}/checkpoint").awaitTermination()
+    last = max(ingest.versions(spark, f"{root}/cells"))
+    return spark.read.parquet(f"{root}/cells/version={last}").select("event_id", "user_id", "event_type", "value")
