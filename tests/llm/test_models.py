@@ -47,6 +47,49 @@ def test_batches_do_not_change_probabilities():
     assert np.allclose(together.sum(1), [1, 1, 0, 1], atol=1e-5)
 
 
+def plain_probabilities(net, text):
+    """The network byte by byte, in plain loops over each window from both ends."""
+    data, hidden = text.encode(), language.HIDDEN
+    total, n = np.zeros(len(net.languages)), 0
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    for first in range(0, len(data), language.WINDOW):
+        piece = list(data[first : first + language.WINDOW])
+        padded = piece + [0] * (language.WINDOW - len(piece))
+        logits = np.tile(net.bias.astype(float), (language.WINDOW, 1))
+        for way, order in enumerate((range(language.WINDOW), reversed(range(language.WINDOW)))):
+            h = np.zeros(hidden)
+            for t in order:
+                g = net.table[256 * way + padded[t]].astype(float)
+                gates = sigmoid(g[: 2 * hidden] + h @ net.gates[way])
+                z, r = gates[:hidden], gates[hidden:]
+                h = (1 - z) * h + z * np.tanh(g[2 * hidden :] + r * (h @ net.candidate[way]))
+                logits[t] += h @ net.out[way]
+        e = np.exp(logits - logits.max(1, keepdims=True))
+        total += (e / e.sum(1, keepdims=True))[: len(piece)].sum(0)
+        n += len(piece)
+    return total / max(n, 1)
+
+
+def test_probabilities_equal_the_plain_network():
+    rng = np.random.default_rng(2)
+    net = language.train(rng.integers(0, 256, (64, language.WINDOW)).astype(np.uint8), np.ones((64, language.WINDOW), np.float32), rng.integers(0, 3, 64), ["a", "b", "c"], steps=3)
+    texts = ["", "a", "short text", "ünïcode " * 9, "x" * language.WINDOW, "longer " * 60 + "漢字"]
+    assert np.allclose(language.probabilities(net, texts), [plain_probabilities(net, t) for t in texts], atol=1e-4)
+
+
+def test_language_sample_is_bounded(spark):
+    """A language with most rows gives no more than its share, and one id that all rows have gives one row for each text."""
+    docs = documents(spark, [(1 if i % 2 else i, f"some text {i % 50}") for i in range(2000)], {i: "aa" for i in range(2000)})
+    rows = []
+    fit = language.train
+    try:
+        language.train = lambda x, *a, **k: rows.append(len(x)) or fit(x, *a, steps=1, **k)
+        language.fit(docs, sample=100)
+    finally:
+        language.train = fit
+    assert 0 < rows[0] <= 200 * language.WINDOWS_PER_DOC
+
+
 def test_language_on_held_out(spark):
     from wellspring.llm import registry
 
@@ -97,6 +140,27 @@ def test_quality_awkward_texts(spark):
     assert quality_model.document_statistics(docs.where("doc_id < 0")).count() == 0
 
 
+def test_discriminant_equals_plain_densities(spark):
+    """Shrunken covariances and Gaussian log-densities, without Cholesky factors or partial sums."""
+    texts = {i: prose(20 + i, i) + ("." if i % 3 else " ## !!") for i in range(60)}
+    y = {i: int(i % 3 > 0) for i in texts}
+    features = quality_model.document_statistics(documents(spark, texts))
+    model = quality_model.fit(features, spark.createDataFrame([(i, v, 0) for i, v in y.items()], "doc_id bigint, quality int, toxic int"))
+    rows = features.collect()
+    x, label = np.array([r.x for r in rows]), np.array([y[r.doc_id] for r in rows])
+    parts = [x[label == k] for k in (0, 1)]
+    cov = [np.cov(p.T, bias=True) for p in parts]
+    scale = np.sqrt(np.maximum(sum(len(p) * np.diag(c) for p, c in zip(parts, cov)) / len(x), 1e-8))
+    logs = []
+    for p, c in zip(parts, cov):
+        shrunk = (1 - quality_model.SHRINKAGE) * c / np.outer(scale, scale) + (quality_model.SHRINKAGE + 1e-9) * np.eye(len(scale))
+        d = (x - p.mean(0)) / scale
+        logs.append(np.log(len(p) / len(x)) - 0.5 * np.linalg.slogdet(shrunk)[1] - 0.5 * np.einsum("ij,ij->i", d, np.linalg.solve(shrunk, d.T).T))
+    want = 1 / (1 + np.exp(-np.clip((logs[1] - logs[0]) / x.shape[1], -500, 500)))
+    got = {r.doc_id: r.score for r in quality_model.score_statistics(features, model).collect()}
+    assert np.allclose([got[r.doc_id] for r in rows], want, atol=1e-6)
+
+
 def test_statistics_by_hand():
     import pyarrow as pa
 
@@ -118,6 +182,37 @@ def test_lexicon_hits_and_exceptions():
     assert hits("foo foo bars") == [2.0, 2.0, 1.0] and hits("not foo, barn") == [3.0] and hits("xfoo xbar") == [] and hits("") == []
 
 
+def test_hits_equal_a_plain_matcher():
+    rng = random.Random(7)
+    words = ["ab", "abc", "abcd", "b", "bc", "x", "abx"]
+    for _ in range(200):
+        weights = {f" {w}" + rng.choice([" ", ""]): rng.random() for w in rng.sample(words, 4)}
+        exceptions = {f" {rng.choice(words)} {rng.choice(words)} " for _ in range(2)} | set(rng.sample(sorted(weights), 1))
+        text = toxicity.fold(" ".join(rng.choice(words) for _ in range(rng.randint(0, 12))))
+        at = lambda p: [i for i in range(len(text)) if text.startswith(p, i)]  # noqa: E731,B023
+        best = {}
+        for p, w in weights.items():
+            for i in at(p) if p not in exceptions else []:
+                if i not in best or best[i][1] < w:
+                    best[i] = (i + len(p), w)
+        free = [(i, i + len(p)) for p in exceptions for i in at(p)]
+        want = [(i, e, w) for i, (e, w) in sorted(best.items()) if not any(a <= i and e <= b + 1 for a, b in free)]
+        lex = toxicity.Lexicon(weights, exceptions)
+        assert lex.hits(text, lex.automaton()) == want
+
+
+def test_fold_of_compatible_forms():
+    assert toxicity.fold("𝐢𝐝𝐢𝐨𝐭 ıdıot “idiot” ⓘⓓⓘⓞⓣ ＠ﬁne —dash—") == " idiot idiot idiot idiot afine dash "
+
+
+def test_odds_equal_counts(spark):
+    """Weights of the lexicon from counted documents."""
+    texts = {i: ("awful " if i < 30 else "") + prose(20, i) for i in range(200)}
+    docs = documents(spark, texts)
+    lex = toxicity.learn(docs, spark.createDataFrame([(i, 1, int(i < 30)) for i in texts], "doc_id bigint, quality int, toxic int"))
+    assert lex.weights[" awful "] == pytest.approx(np.log(30.1 / 30) - np.log(0.5 / 170))
+
+
 def test_toxicity_learns_words_stems_and_exceptions(spark):
     vocab = vocabulary(200)
     rng = random.Random(2)

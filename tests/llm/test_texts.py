@@ -195,6 +195,13 @@ def test_host_verdicts(spark):
     assert a == kept and quality_rules.apply_rules(documents(spark, [])).count() == 0
 
 
+def test_null_host_is_no_empty_host(spark):
+    rows = [(i, "spam " * 40, None) for i in range(30)] + [(100 + i, prose(40, i), "") for i in range(5)] + [(200, prose(30_000, 1), "long")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    kept = {r.doc_id: (r.kept, r.n_words) for r in quality_rules.apply_rules(docs).collect()}
+    assert not any(kept[i][0] for i in range(30)) and all(kept[100 + i][0] for i in range(5)) and kept[200] == (True, 30_000)
+
+
 def test_salted_hosts_give_the_same(spark, monkeypatch):
     docs = documents(spark, {i: prose(20, i) if i % 3 else "x" for i in range(30)}, sources={i: f"h{i % 4}" for i in range(30)})
     one = sorted(map(tuple, quality_rules.apply_rules(docs).collect()))
