@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +158,26 @@ def test_tree_prunes():
     assert sorted(s)[::-1] == sorted(p @ [1.0, 0.5])[::-1][:5] and sum(scanned) < len(t.low) / 2
 
 
+def test_splits_and_boxes_send_on_only_where_it_matters(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((8, 4)) * 50
+    x = np.concatenate([c + rng.standard_normal((100, 4)) for c in centres])
+    cells = topk.Splits(x[rng.permutation(800)[:300]], 8)
+    of = cells.of(x)
+    assert cells.cells == 8 and np.bincount(of).min() > 20
+    assert topk.Splits(np.ones((50, 3)), 8).cells == 1 and topk.Splits(np.zeros((5, 0)), 4).cells == 1
+    placed = spark.createDataFrame([(i, v.tolist(), 4, int(c)) for i, (v, c) in enumerate(zip(x, of))], "vec_id bigint, v array<double>, d int, cell int")
+    boxes = topk._boxes(placed)
+    assert all((low == x[of == c].min(0)).all() and (high == x[of == c].max(0)).all() for c, low, high in zip(*boxes[4]))
+    subs = {(4, c): 1 + c % 2 for c in range(8)}
+    best = np.sort(x @ x[0])[-11]  # the tenth score but for its own
+    asking = pd.DataFrame({"q_id": [0, 1], "q": [x[0], x[1]], "d": 4, "cell": [of[0], of[1]], "sub": 0, "least": [best, np.nan]})
+    sent = pd.concat(topk._send(boxes, subs)(iter([asking])))
+    to = set(sent[sent.q_id == 0].cell)
+    assert {c for c in range(8) if (x[of == c] @ x[0]).max() >= best and (c, 0) != (of[0], 0)} <= to | {of[0]} and len(to) < 7
+    assert len(sent[sent.q_id == 1]) == sum(subs.values()) - 1
+
+
 URLS = {
     1: "https://a.net/x", 2: "http://b.Example.NET/en/1?q#f", 3: "http://example.net/english", 4: "http://example.com/de/", 5: "http://x.example.com/de", 6: "http://y.org/fr/a#b",
     7: "http://net", 8: "http://nets/", 9: None, 10: "no scheme", 11: "ftp://org?x/fr/", 12: "http://ÄB.org/fr/é", 13: "http://a.net/x", 14: "x://y://net/", 15: "http://.net/", 16: "http://net.:80/\n/a",
