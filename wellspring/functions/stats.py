@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -177,20 +178,36 @@ def fold_p(share: Column) -> Column:
     return 2 * F.least(share, 1 - share)
 
 
+#: Log-factorials are tabulated for a batch up to this total; larger tables take them one by one.
+FISHER_TABLE = 4_000_000
+
+
+def _fisher(a: np.ndarray, row: int, col: int, n: int, log_factorial) -> np.ndarray:
+    """Two-sided p-values of tables with the same margins and these first cells, from one vector of their probabilities."""
+    k = np.arange(max(0, row + col - n), min(row, col) + 1)
+    f = log_factorial
+    logs = f(row) - f(k) - f(row - k) + f(n - row) - f(col - k) - f(n - row - col + k) - f(n) + f(col) + f(n - col)
+    order = np.sort(logs)
+    below = np.concatenate([[0.0], np.cumsum(np.exp(order))])
+    return np.minimum(1.0, below[np.searchsorted(order, logs[a - k[0]] + 1e-7, "right")])
+
+
 @F.pandas_udf(DoubleType())
 def fisher_exact(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
-    """Two-sided p-value of the 2 x 2 table [[a, b], [c, d]]; negative cells count as zero."""
-
-    def one(a, b, c, d):
-        a, b, c, d = (max(0, int(x)) for x in (a, b, c, d))
-        row, col, n = a + b, a + c, a + b + c + d
-        log = lambda k: math.lgamma(row + 1) - math.lgamma(k + 1) - math.lgamma(row - k + 1) + math.lgamma(n - row + 1) - math.lgamma(col - k + 1) - math.lgamma(n - row - col + k + 1)
-        base = math.lgamma(n + 1) - math.lgamma(col + 1) - math.lgamma(n - col + 1)
-        here = log(a) - base
-        total = sum(math.exp(x) for k in range(max(0, row + col - n), min(row, col) + 1) if (x := log(k) - base) <= here + 1e-7)
-        return min(1.0, total)
-
-    return pd.Series([one(*x) for x in zip(a, b, c, d)])
+    """Two-sided p-value of the 2 x 2 table [[a, b], [c, d]]; negative cells count as zero. Tables with equal margins are
+    worked out together."""
+    t = np.maximum(np.stack([x.to_numpy(float) for x in (a, b, c, d)]), 0).astype(np.int64)
+    margins = np.stack([t[0] + t[1], t[0] + t[2], t.sum(0)], axis=1)
+    out = np.empty(len(a))
+    if len(out) and margins[:, 2].max() <= FISHER_TABLE:
+        table = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, margins[:, 2].max() + 1)))])
+        log_factorial = lambda k: table[k]
+    else:
+        log_factorial = np.vectorize(lambda k: math.lgamma(k + 1), otypes=[float])
+    for m in np.unique(margins, axis=0):
+        at = np.flatnonzero((margins == m).all(1))
+        out[at] = _fisher(t[0, at], *map(int, m), log_factorial)
+    return pd.Series(out)
 
 
 @F.pandas_udf(DoubleType())

@@ -124,14 +124,16 @@ def resolution_table(scored: DataFrame, rates: list[str], top: int = 10, resolut
     return scored.withColumns({c: F.round(100 * F.col(c), 1) for c in rates}).orderBy(F.desc("balanced"), resolution).limit(top)
 
 
-def control_distance(embedded: DataFrame, gene: str, vector: str, control: Column, metric: str = "euclidean", block: int = 64) -> DataFrame:
+def control_distance(embedded: DataFrame, gene: str, vector: str, control: Column, metric: str = "euclidean", block: int = 1024) -> DataFrame:
     """gene, mean_distance to the control genes (a control's distance 0 to itself counts), and that scaled to 0..1.
 
-    Controls are packed into blocks of rows, each row meets each block: no pairs are made one by one.
+    Controls are packed into blocks of about `block` of them, and each row goes to each block by an equi-join: no pairs are
+    made one by one, and Spark broadcasts the blocks only where their measured size allows.
     """
     v = F.transform(vector, lambda x: x.cast("double"))
     rows = embedded.select(F.col(gene).alias("gene"), v.alias("v"))
-    controls = embedded.where(control).select(v.alias("c"), F.pmod(F.xxhash64(gene), F.lit(block)).alias("b")).groupBy("b").agg(F.collect_list("c").alias("cs"))
+    blocks = max(1, -(-embedded.where(control).count() // block))
+    controls = embedded.where(control).select(v.alias("c"), F.pmod(F.xxhash64(gene), F.lit(blocks)).cast("int").alias("b")).groupBy("b").agg(F.collect_list("c").alias("cs"))
 
     def distance(a: Column, b: Column) -> Column:
         if metric == "cosine":
@@ -139,8 +141,7 @@ def control_distance(embedded: DataFrame, gene: str, vector: str, control: Colum
             return 1 - dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
         return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
 
-    # Of the controls there are some hundreds: their blocks are a bounded dimension table.
-    met = rows.crossJoin(F.broadcast(controls)).select("gene", F.size("cs").alias("n"), F.aggregate("cs", F.lit(0.0), lambda s, c: s + distance(F.col("v"), c)).alias("d"))
+    met = rows.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(controls, "b").select("gene", F.size("cs").alias("n"), F.aggregate("cs", F.lit(0.0), lambda s, c: s + distance(F.col("v"), c)).alias("d"))
     mean = met.groupBy("gene").agg((F.sum("d") / F.sum("n")).alias("mean_distance"))
     out = with_group_stats(mean, [], {"lo_": F.min("mean_distance"), "hi_": F.max("mean_distance")})
     return out.withColumn("normalized_distance", F.coalesce(F.try_divide(F.col("mean_distance") - F.col("lo_"), F.col("hi_") - F.col("lo_")), F.lit(0.0))).drop("lo_", "hi_")
