@@ -1,4 +1,10 @@
-"""From raw documents to token ids: quality, near-duplicates, personal data, mixing, tokens."""
+"""From raw documents to token ids: quality, near-duplicates, personal data, mixing, tokens.
+
+Defined results: each stage does with nulls, empty and very long texts, ties and repeated rows what its module says; no row
+goes but those that the quality classifier rejects and those whose text is a copy of another row's that stays. Rows with a
+null or repeated id are rows of their own. Mixing repeats rows and drops none. An empty table gives an empty result, and
+further columns of documents, whatever their names, are kept up to the last stage.
+"""
 
 from __future__ import annotations
 
@@ -15,7 +21,7 @@ STAGES = [
     ("mixing", mixing.stage),
     ("tokens", bpe.stage),
 ]
-#: Trained models and MinHash have no SQL form; tests hold the stages against brute force.
+#: Trained models and MinHash have no SQL form; tests hold each stage's operator against a plain version of it.
 ORACLE_SQL = None
 
 
