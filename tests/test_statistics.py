@@ -332,3 +332,23 @@ def test_objects_of_masks(spark):
     assert got == want
     assert objects.stitched_cells(tiles.where("label > 9"), shifts, ["well"]).count() == 0
     assert (images.correct_illumination(np.full((2, 3, 3), 10.0), np.full((3, 3), 4.0), project=True) == 2).all()
+
+
+def test_positions_by_normal_equations():
+    """As by least squares over all edges, also with shifts that disagree, edges that repeat, and tiles apart from the first."""
+    rng = np.random.default_rng(3)
+    for edges in ([(0, 1), (1, 2), (0, 2), (2, 3), (0, 1)], [(0, 1), (2, 3)]):
+        e = pd.DataFrame([(a, b, *rng.normal(size=2)) for a, b in edges], columns=["a", "b", "di", "dj"])
+        m = np.zeros((len(e) + 1, 4))
+        for r, (a, b) in enumerate(edges):
+            m[r, b], m[r, a] = 1, -1
+        m[-1, 0] = 1
+        want = np.linalg.lstsq(m, np.vstack([e[["di", "dj"]].to_numpy(), [[0, 0]]]), rcond=None)[0]
+        assert np.allclose(registration.solve_positions(e, [0, 1, 2, 3])[["i", "j"]], want)
+
+
+def test_a_large_well_is_solved_without_a_matrix_of_edges(monkeypatch):
+    tiles = list(range(600))
+    e = pd.DataFrame([(t, t + 1, 2.0, -1.0) for t in tiles[:-1]] * 5, columns=["a", "b", "di", "dj"])
+    monkeypatch.setattr(np.linalg, "lstsq", None)
+    assert np.allclose(registration.solve_positions(e, tiles)["i"], 2.0 * np.arange(600))

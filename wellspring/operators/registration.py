@@ -356,12 +356,24 @@ def align_regionally(cells_0: DataFrame, cells_1: DataFrame, keys: list[str], si
 
 
 def solve_positions(edges: pd.DataFrame, tiles: list[int]) -> pd.DataFrame:
-    """Tile positions by least squares of pairwise shifts (a, b, di, dj), the first tile at the origin."""
+    """Tile positions by least squares of pairwise shifts (a, b, di, dj), the first tile at the origin.
+
+    By the normal equations, tiles by tiles whatever the number of edges; where edges leave tiles apart from the first,
+    theirs is the solution of least norm.
+    """
     at = {t: k for k, t in enumerate(tiles)}
-    m = np.zeros((len(edges) + 1, len(tiles)))
-    rhs = np.zeros((len(edges) + 1, 2))
-    for r, e in enumerate(edges.itertuples()):
-        m[r, at[e.b]], m[r, at[e.a]], rhs[r] = 1, -1, (e.di, e.dj)
-    m[-1, 0] = 1
-    p = np.linalg.lstsq(m, rhs, rcond=None)[0]
+    a, b = (edges[c].map(at).to_numpy(int) for c in "ab")
+    shift = edges[["di", "dj"]].to_numpy(float)
+    n = len(tiles)
+    m, rhs = np.zeros((n, n)), np.zeros((n, 2))
+    for x, y, sign in ((a, a, 1), (b, b, 1), (a, b, -1), (b, a, -1)):
+        np.add.at(m, (x, y), sign)
+    np.add.at(rhs, b, shift)
+    np.add.at(rhs, a, -shift)
+    m[0, 0] += 1
+    reached, new = np.zeros(n, bool), np.arange(n) == 0
+    while new.any():
+        reached |= new
+        new = (m[new] != 0).any(0) & ~reached
+    p = np.linalg.solve(m, rhs) if reached.all() else np.linalg.lstsq(m, rhs, rcond=None)[0]
     return pd.DataFrame({"tile": tiles, "i": p[:, 0], "j": p[:, 1]})

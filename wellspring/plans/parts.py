@@ -590,7 +590,7 @@ def solved_positions(spark, d):
     """Shifts between neighbouring tiles of a well, a bounded group, give their positions back."""
     t = _tiles(spark, d)
     at = lambda k: t.select("well", F.col("tile").alias(k), F.col("x_pos").alias(f"x_{k}"), F.col("y_pos").alias(f"y_{k}"))
-    edges = merge.tile_edges(t, ["well"], 300.0, neighbours=8).join(at("a"), ["well", "a"]).join(at("b"), ["well", "b"])
+    edges = merge.tile_edges(t, ["well"], 300.0, neighbours=8).join(at("a").hint("merge"), ["well", "a"]).join(at("b").hint("merge"), ["well", "b"])
     edges = edges.select("well", "a", "b", (F.col("x_b") - F.col("x_a")).alias("di"), (F.col("y_b") - F.col("y_a")).alias("dj"))
 
     def solve(g):
