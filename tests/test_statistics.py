@@ -352,3 +352,11 @@ def test_a_large_well_is_solved_without_a_matrix_of_edges(monkeypatch):
     e = pd.DataFrame([(t, t + 1, 2.0, -1.0) for t in tiles[:-1]] * 5, columns=["a", "b", "di", "dj"])
     monkeypatch.setattr(np.linalg, "lstsq", None)
     assert np.allclose(registration.solve_positions(e, tiles)["i"], 2.0 * np.arange(600))
+
+
+def test_a_shared_null_is_not_copied_for_every_key(spark):
+    nulls = spark.createDataFrame([(k, [float(k)]) for k in range(10)], "sim int, x array<double>")
+    seen = spark.createDataFrame([("a", 1.5), ("b", 7.0), ("c", 20.0)], "g string, x double")
+    one = {r.g: (r.num_sims, round(r.x_pval, 9)) for r in bootstrap.p_values(nulls, seen, ["x"], "g").collect()}
+    each = {r.g: (r.num_sims, round(r.x_pval, 9)) for r in bootstrap.p_values(seen.select("g").crossJoin(nulls), seen, ["x"], "g").collect()}
+    assert one == each == {"a": (10, 0.4), "b": (10, 0.4), "c": (10, 0.0)}

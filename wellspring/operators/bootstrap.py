@@ -100,9 +100,12 @@ def gene_null(nulls: DataFrame, members: DataFrame, construct: str, gene: str) -
 
 
 def p_values(nulls: DataFrame, observed: DataFrame, features: list[str], key: str) -> DataFrame:
-    """key, num_sims and {feature}_pval: the share of the null over the observed value, folded and doubled; degenerate nulls have none."""
+    """key, num_sims and {feature}_pval: the share of the null over the observed value, folded and doubled; degenerate nulls have none.
+
+    Nulls without the key's column are shared by all keys: observed values, a row for each key, are sent to them.
+    """
     seen = observed.select(F.col(key).alias("key_"), *[F.col(f).cast("double").alias(f"o_{f}") for f in features])
-    x = nulls.join(seen, nulls[key] == seen["key_"])
+    x = nulls.join(seen, nulls[key] == seen["key_"]) if key in nulls.columns else nulls.crossJoin(F.broadcast(seen)).withColumn(key, F.col("key_"))
     each = [F.when(F.min(F.col("x")[i]) < F.max(F.col("x")[i]), fold_p(F.avg((F.col("x")[i] > F.col(f"o_{f}")).cast("double")))).alias(f"{f}_pval") for i, f in enumerate(features)]
     return x.groupBy(key).agg(F.count("*").alias("num_sims"), *each)
 

@@ -166,9 +166,10 @@ def bh_fdr_pooled(spark, d):
 s AS (SELECT gene, avg(CASE WHEN v > o THEN 1.0 ELSE 0.0 END) AS share FROM o, n GROUP BY gene) SELECT gene, round(2 * least(share, 1 - share), 9) AS price_pval FROM s""")
 def fold_pvalue(spark, d):
     df = cells(spark, d)
-    observed = df.groupBy("gene").agg(F.percentile("price", 0.5).alias("price"))
-    null = df.groupBy(F.col("construct").alias("sim")).agg(F.array(F.avg("price")).alias("x"))
-    nulls = df.select("gene").distinct().crossJoin(null)
+    # Equal prices are counted first: an exact median holds every row of a gene that it is given.
+    prices = df.groupBy("gene", "price").agg(F.count("*").alias("n"))
+    observed = prices.groupBy("gene").agg(F.percentile("price", 0.5, F.col("n")).alias("price"))
+    nulls = df.groupBy(F.col("construct").alias("sim")).agg(F.array(F.avg("price")).alias("x"))
     return rounded(bootstrap.p_values(nulls, observed, ["price"], "gene").drop("num_sims"), 9)
 
 
