@@ -360,3 +360,16 @@ def test_a_shared_null_is_not_copied_for_every_key(spark):
     one = {r.g: (r.num_sims, round(r.x_pval, 9)) for r in bootstrap.p_values(nulls, seen, ["x"], "g").collect()}
     each = {r.g: (r.num_sims, round(r.x_pval, 9)) for r in bootstrap.p_values(seen.select("g").crossJoin(nulls), seen, ["x"], "g").collect()}
     assert one == each == {"a": (10, 0.4), "b": (10, 0.4), "c": (10, 0.0)}
+
+
+def test_imputation_searches_all_rows(spark, monkeypatch):
+    """More rows than a block, and the nearest of each among the last by any hash; equal distances go by the key."""
+    monkeypatch.setattr(filters, "KNN_BLOCK", 700)
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(11_000, 3)), 1)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    few = x.copy()
+    few[300:] = np.where(np.isnan(few[300:]), 0.5, few[300:])
+    df = spark.createDataFrame([(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(few)], "i int, a double, b double, c double")
+    got = filters.impute_knn(df, ["a", "b", "c"], ["i"]).toPandas().sort_values("i")[["a", "b", "c"]].to_numpy()
+    assert np.allclose(got, filters.fill_from_neighbours(few, few, 5), atol=1e-12)

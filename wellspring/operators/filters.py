@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wellspring.functions.stats import MAD_TO_STD, clean, exact_quantiles
+from wellspring.functions.stats import MAD_TO_STD, clean, cumulative, exact_quantiles
 from wellspring.session import materialize, ship
 
 _COMPARE = {ast.Eq: lambda a, b: a == b, ast.Lt: lambda a, b: a < b, ast.LtE: lambda a, b: a <= b, ast.Gt: lambda a, b: a > b, ast.GtE: lambda a, b: a >= b}
@@ -101,14 +101,20 @@ def missing_values_filter(df: DataFrame, features: list[str], drop_columns: floa
     return df, features
 
 
-def impute_knn(df: DataFrame, features: list[str], keys: list[str], k: int = 5, reference_rows: int = 10_000, seed: int = 42) -> DataFrame:
-    """Missing features as the mean of the k nearest reference rows that have them.
+#: Rows of a block, when all rows are searched for the nearest: a task holds one block of those that lack values, and one of all.
+KNN_BLOCK = 8192
 
-    The reference is the `reference_rows` first rows by a hash of their keys, without missing values ignored; the
-    distance is over the features both have, scaled up for those missing. The reference's size is bounded by the
-    parameter, so it's sent with the code; rows are imputed where they are.
+
+def impute_knn(df: DataFrame, features: list[str], keys: list[str], k: int = 5, reference_rows: int | None = None, seed: int = 42) -> DataFrame:
+    """Missing features as the mean of the k nearest rows that have them; the column's mean where no row is comparable.
+
+    The distance is over the features both have, scaled up for those missing; ties go by the keys. All rows are searched,
+    by blocks of KNN_BLOCK, so the work is rows with missing values times rows. reference_rows: search only so many, the
+    first by a hash of their keys, which are sent with the code.
     """
     ship(df.sparkSession)
+    if reference_rows is None:
+        return _impute_from_all(df, features, keys, k)
     order = F.xxhash64(*keys, F.lit(seed))
     ref = df.select(*[clean(c).cast("double").alias(c) for c in features], order.alias("h_"), *[F.col(c).alias(f"k_{c}") for c in keys]).orderBy("h_", *[f"k_{c}" for c in keys]).limit(reference_rows)
     shared = df.sparkSession.sparkContext.broadcast(ref.select(*features).toPandas().to_numpy(float))
@@ -123,6 +129,70 @@ def impute_knn(df: DataFrame, features: list[str], keys: list[str], k: int = 5,
     return df.withColumns({c: clean(c).cast("double") for c in features}).mapInPandas(run, fields)
 
 
+def _impute_from_all(df: DataFrame, features: list[str], keys: list[str], k: int) -> DataFrame:
+    spark = df.sparkSession
+    rows = df.withColumns({c: clean(c).cast("double") for c in features} | {"o_": F.struct(*keys), "one_": F.lit(1)})
+    rows = materialize(cumulative(rows, "o_", "one_", "at_").drop("o_", "one_"), "rows")
+    n, *means = rows.agg(F.count("*"), *[F.avg(c) for c in features]).first()
+    blocks = max(1, -(-n // KNN_BLOCK))
+    slim = rows.select("at_", F.floor((F.col("at_") - 1) / KNN_BLOCK).cast("int").alias("own_"), *features)
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    tasks = min(blocks * blocks, 4 * spark.sparkContext.defaultParallelism)
+    # As many tasks as given: few bytes are much work here.
+    dealt = lambda d: d.drop("own_").repartition(tasks, "b0_", "b1_").groupBy("b0_", "b1_")
+    asking = dealt(slim.where(" OR ".join(f"`{c}` IS NULL" for c in features)).withColumn("b0_", F.col("own_")).withColumn("b1_", every))
+    known = dealt(slim.withColumn("b1_", F.col("own_")).withColumn("b0_", every))
+
+    def search(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        b = b.sort_values("at_")
+        found = [nearest_known(a[features].to_numpy(float), b[features].to_numpy(float), k)] if len(a) and len(b) else []
+        parts = [pd.DataFrame({"at_": a["at_"].to_numpy()[i], "c_": c, "d_": d, "by_": b["at_"].to_numpy()[j], "v_": b[features].to_numpy(float)[j, c]}) for i, c, j, d in found]
+        return parts[0] if parts else pd.DataFrame({"at_": [], "c_": [], "d_": [], "by_": [], "v_": []})
+
+    near = asking.cogroup(known).applyInPandas(search, "at_ bigint, c_ int, d_ double, by_ bigint, v_ double")
+    best = near.groupBy("at_", "c_").agg(F.slice(F.array_sort(F.collect_list(F.struct("d_", "by_", "v_"))), 1, k).alias("x_"))
+    mean = F.aggregate("x_", F.lit(0.0), lambda s, x: s + x["v_"]) / F.size("x_")
+    best = best.groupBy("at_").agg(*[F.max(F.when(F.col("c_") == c, mean)).alias(f"m_{c}") for c in range(len(features))])
+    out = rows.join(best, "at_", "left").withColumns({f: F.coalesce(f, f"m_{c}", F.lit(means[c]).cast("double")) for c, f in enumerate(features)})
+    return out.select(*df.columns)
+
+
+def nearest_known(x: np.ndarray, reference: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each NaN of x the k nearest reference rows that have this column: row and column in x, row of the reference,
+    distance. Ties go to the earlier row."""
+    known = ~np.isnan(reference)
+    filled = np.where(known, reference, 0)
+    empty = np.zeros(0, int)
+    rows, columns, others, distances = [empty], [empty], [empty], [np.zeros(0)]
+    lacks = np.isnan(x)
+    for pattern in np.unique(lacks[lacks.any(1)], axis=0):
+        mine = np.flatnonzero(~pattern)
+        both = known[:, mine].sum(1)
+        asked = np.flatnonzero((lacks == pattern).all(1))
+        for c in np.flatnonzero(pattern):
+            can = np.flatnonzero(known[:, c] & (both > 0))
+            if not len(can):
+                continue
+            for first in range(0, len(asked), 256):
+                at = asked[first : first + 256]
+                d = np.zeros((len(at), len(can)))
+                for f in mine:
+                    d += (filled[can, f] - x[at, f][:, None]) ** 2 * known[can, f]
+                d = d * x.shape[1] / both[can]
+                d[~np.isfinite(d)] = np.inf
+                limit = np.partition(d, min(k, len(can)) - 1, axis=1)[:, min(k, len(can)) - 1]
+                i, j = np.nonzero((d <= limit[:, None]) & (d < np.inf))
+                order = np.lexsort((j, d[i, j], i))
+                i, j = i[order], j[order]
+                keep = np.arange(len(i)) - np.searchsorted(i, i) < k
+                i, j = i[keep], j[keep]
+                rows.append(at[i])
+                columns.append(np.full(len(i), c))
+                others.append(can[j])
+                distances.append(d[i, j])
+    return np.concatenate(rows), np.concatenate(columns), np.concatenate(others), np.concatenate(distances)
+
+
 def fill_from_neighbours(x: np.ndarray, reference: np.ndarray, k: int) -> np.ndarray:
     """x with NaN filled; a column without any reference value stays NaN."""
     x = x.copy()
