@@ -205,3 +205,22 @@ def test_near_points_are_never_broadcast(spark):
     p = spark.range(200).select(F.lit("w").alias("well"), F.col("id").alias("tile"), (F.col("id") % 20 * 10.0).alias("x_pos"), (F.col("id") / 20).alias("y_pos"))
     plan = merge.tile_edges(p, ["well"], 15.0)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_control_distances_by_blocks(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(90, 5)) + 100
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)] + [(90, None)], "g int, v array<double>")
+    d = np.sqrt(((x[:, None] - x[None, :30]) ** 2).sum(-1)).mean(1)
+    got = {r.gene: r for r in cluster.control_distance(df, "g", "v", F.col("g") < 30, block=7).collect()}
+    assert got[90].mean_distance is None and np.allclose([got[i].mean_distance for i in range(90)], d)
+    y = x / np.sqrt((x**2).sum(1))[:, None]
+    got = {r.gene: r.mean_distance for r in cluster.control_distance(df, "g", "v", F.col("g") < 30, "cosine", 7).collect()}
+    assert np.allclose([got[i] for i in range(90)], (1 - y @ y[:30].T).mean(1))
+
+
+def test_close_pairs_keep_their_digits():
+    x = np.random.default_rng(6).normal(size=(40, 8))
+    near = np.vstack([x, x + 1e-7])
+    assert np.allclose(cluster.distance_sums(x, near[40:41]), np.sqrt(((x - near[40]) ** 2).sum(1)), rtol=1e-7, atol=0)
+    assert abs(cluster.distance_sums(near[:1], near[[0, 40]])[0] - 1e-7 * np.sqrt(8)) < 1e-13

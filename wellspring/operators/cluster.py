@@ -6,10 +6,13 @@ whole input is one number for each resolution.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspring.functions.stats import STD_TO_MAD, benjamini_hochberg, clean, fisher_exact, mann_whitney, t_two_sided, with_group_stats
+from wellspring.session import materialize, ship
 
 
 def group_enrichment(clusters: DataFrame, groups: DataFrame, gene: str = "gene", cluster: str = "cluster", group: str = "group", fdr: float = 0.05) -> DataFrame:
@@ -124,29 +127,65 @@ def resolution_table(scored: DataFrame, rates: list[str], top: int = 10, resolut
     return scored.withColumns({c: F.round(100 * F.col(c), 1) for c in rates}).orderBy(F.desc("balanced"), resolution).limit(top)
 
 
-def control_distance(embedded: DataFrame, gene: str, vector: str, control: Column, metric: str = "euclidean", block: int = 1024) -> DataFrame:
+def control_distance(embedded: DataFrame, gene: str, vector: str, control: Column, metric: str = "euclidean", block: int = 8192) -> DataFrame:
     """gene, mean_distance to the control genes (a control's distance 0 to itself counts), and that scaled to 0..1.
 
-    Controls are packed into blocks of about `block` of them, and each row goes to each block by an equi-join: no pairs are
-    made one by one, and Spark broadcasts the blocks only where their measured size allows.
+    Rows and controls are dealt to blocks of about `block`, and each block of rows meets each of controls in a co-group, as
+    two matrices: no pairs are made one by one. A null vector, or one with a null, has no distance.
     """
+    spark = embedded.sparkSession
+    ship(spark)
+    kind = dict(embedded.dtypes)[gene]
     v = F.transform(vector, lambda x: x.cast("double"))
     rows = embedded.select(F.col(gene).alias("gene"), v.alias("v"))
-    blocks = max(1, -(-embedded.where(control).count() // block))
-    controls = embedded.where(control).select(v.alias("c"), F.pmod(F.xxhash64(gene), F.lit(blocks)).cast("int").alias("b")).groupBy("b").agg(F.collect_list("c").alias("cs"))
-
-    def distance(a: Column, b: Column) -> Column:
-        if metric == "cosine":
-            dot = lambda p, q: F.aggregate(F.zip_with(p, q, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-            return 1 - dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
-        return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
-
-    met = rows.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(controls, "b").select("gene", F.size("cs").alias("n"), F.aggregate("cs", F.lit(0.0), lambda s, c: s + distance(F.col("v"), c)).alias("d"))
-    mean = met.groupBy("gene").agg((F.sum("d") / F.sum("n")).alias("mean_distance"))
+    controls = embedded.where(control).select(v.alias("v")).where(F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull()))
+    n_rows, n_controls = max(1, -(-rows.count() // block)), max(1, -(-controls.count() // block))
+    own = lambda n, *c: F.pmod(F.xxhash64(*c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    # As many tasks as given: few bytes are much work here.
+    tasks = min(n_rows * n_controls, 4 * spark.sparkContext.defaultParallelism)
+    dealt = lambda d: d.repartition(tasks, "a", "b").groupBy("a", "b")
+
+    def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if not len(x) or not len(y):
+            return pd.DataFrame({"gene": [], "n": [], "d": []})
+        y = np.stack(y["v"].to_numpy()).astype(float)
+        size = y.shape[1]
+        x0 = np.stack([u.astype(float) if u is not None and len(u) == size else np.full(size, np.nan) for u in x["v"]])
+        return pd.DataFrame({"gene": x["gene"].to_numpy(), "n": len(y), "d": distance_sums(x0, y, metric)})
+
+    sums = dealt(rows.withColumn("a", own(n_rows, "gene")).withColumn("b", every(n_controls))).cogroup(dealt(controls.withColumn("b", own(n_controls, F.monotonically_increasing_id())).withColumn("a", every(n_rows))))
+    sums = sums.applyInPandas(meet, f"gene {kind}, n bigint, d double").withColumn("d", clean("d"))
+    mean = materialize(sums.groupBy("gene").agg((F.sum("d") / F.sum("n")).alias("mean_distance")), "distances")
     out = with_group_stats(mean, [], {"lo_": F.min("mean_distance"), "hi_": F.max("mean_distance")})
     return out.withColumn("normalized_distance", F.coalesce(F.try_divide(F.col("mean_distance") - F.col("lo_"), F.col("hi_") - F.col("lo_")), F.lit(0.0))).drop("lo_", "hi_")
 
 
+def distance_sums(x: np.ndarray, y: np.ndarray, metric: str = "euclidean") -> np.ndarray:
+    """For each row of x the sum of its distances to all rows of y."""
+    out = np.empty(len(x))
+    if metric == "cosine":
+        length = lambda m: np.sqrt((m**2).sum(1))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return len(y) - x @ (y / length(y)[:, None]).sum(0) / length(x)
+    middle = y.mean(0)
+    x, y = x - middle, y - middle
+    square = (y**2).sum(1)
+    for k in range(0, len(x), 512):
+        part = x[k : k + 512]
+        d = part @ y.T
+        d *= -2
+        both = (part**2).sum(1)[:, None] + square
+        d += both
+        # Close pairs have lost their digits in the difference of squares.
+        i, j = np.nonzero(d < 1e-4 * both)
+        starts = np.searchsorted(i, hit := np.unique(i))
+        for r, others in zip(hit, np.split(j, starts[1:])):
+            d[r, others] = ((y[others] - part[r]) ** 2).sum(1)
+        out[k : k + 512] = np.sqrt(np.maximum(d, 0, out=d), out=d).sum(1)
+    return out
+
+
 def _long(df: DataFrame, features: list[str], test: Column, control: Column) -> DataFrame:
     """feature, value, is_test of the rows that are in either set."""
     keep = df.where(test | control).withColumn("is_test", test)
