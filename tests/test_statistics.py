@@ -373,3 +373,18 @@ def test_imputation_searches_all_rows(spark, monkeypatch):
     df = spark.createDataFrame([(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(few)], "i int, a double, b double, c double")
     got = filters.impute_knn(df, ["a", "b", "c"], ["i"]).toPandas().sort_values("i")[["a", "b", "c"]].to_numpy()
     assert np.allclose(got, filters.fill_from_neighbours(few, few, 5), atol=1e-12)
+
+
+def test_simulations_come_to_blocks_of_controls(spark, monkeypatch):
+    """Many blocks, one construct larger than a block, and no row for a single draw; the gene goes along."""
+    rng = np.random.default_rng(8)
+    controls = spark.createDataFrame([(0 if i < 150 else i // 10, float(rng.random())) for i in range(400)], "k bigint, x double")
+    constructs = spark.createDataFrame([(i, f"g{i % 2}", 4 + i) for i in range(9)], "k bigint, g string, cell_count bigint")
+    draw = lambda **o: bootstrap.construct_bootstrap(constructs, controls, ["x"], "k", sims=40, **o)
+    one = sorted(draw().collect())
+    want = {tuple(r) for r in bootstrap.gene_null(draw(), constructs, "k", "g").select("g", "sim", F.col("x")[0]).collect()}
+    monkeypatch.setattr(bootstrap, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(bootstrap, "BLOCK_ROWS", 20)
+    far = draw(keep="g", write=False)
+    assert sorted(far.select("k", "sim", "x").collect()) == one and len(one) == 360
+    assert {tuple(r) for r in bootstrap.gene_null(far, None, "k", "g").select("g", "sim", F.col("x")[0]).collect()} == want and len(want) == 80

@@ -11,92 +11,203 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspring.functions.stats import benjamini_hochberg, cumulative, fold_p
 from wellspring.session import materialize, ship
 
-#: Control values up to so many bytes are sent to every executor; more are fetched, row by row as drawn, by a join.
+#: Control values up to so many bytes are sent to every executor; more are dealt in blocks, which simulations come to.
 BROADCAST_BYTES = 64 << 20
+#: Control rows and simulations that meet in a task, about; draws that are held at once; null rows that are packed together.
+BLOCK_ROWS, BLOCK_PAIRS, DRAWS_AT_ONCE, PACKED_ROWS = 1 << 17, 500_000, 1 << 20, 1 << 18
 
 
 def _seed(*parts) -> int:
     return int.from_bytes(hashlib.blake2b("|".join(map(str, parts)).encode(), digest_size=8).digest(), "little")
 
 
-def draws(groups: np.ndarray, size: int, sims: int, seed: int) -> np.ndarray:
-    """sims x size numbers of control rows. groups: where each control construct's rows start, and the end."""
-    rng = np.random.default_rng(seed)
-    cell = rng.integers(0, groups[-1], sims)
-    g = np.searchsorted(groups, cell, "right") - 1
-    low, high = groups[g], groups[g + 1]
-    return low[:, None] + (rng.random((sims, size)) * (high - low)[:, None]).astype(np.int64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def simulate(values: np.ndarray, groups: np.ndarray, size: int, sims: int, seed: int) -> np.ndarray:
-    """sims x features medians of the drawn rows of values."""
-    return np.median(values[draws(groups, size, sims, seed)], axis=1)
+def _mix(x: np.ndarray) -> np.ndarray:
+    """SplitMix64: independent 64-bit numbers from different ones."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def construct_bootstrap(constructs: DataFrame, controls: DataFrame, features: list[str], construct: str, size: str = "cell_count", sims: int = 1000, seed: int = 42) -> DataFrame:
+def _share(x: np.ndarray) -> np.ndarray:
+    return (x >> np.uint64(11)) * 2.0**-53
+
+
+def _seeds(constructs: np.ndarray, seed: int) -> np.ndarray:
+    names = constructs.astype(np.int64) if constructs.dtype.kind in "iu" else np.array([str(c) for c in constructs], object)
+    return _mix(pd.util.hash_array(names, categorize=False) + np.uint64(_seed(seed)))
+
+
+def simulations(seeds: np.ndarray, sims: np.ndarray) -> np.ndarray:
+    """A number for each simulation of a construct, from which all its draws follow."""
+    return _mix(seeds + (sims.astype(np.uint64) + np.uint64(1)) * _STEP)
+
+
+def drawn_groups(numbers: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The control construct of each simulation: that of a control cell drawn from all."""
+    return np.searchsorted(starts, (_share(numbers) * starts[-1]).astype(np.int64), "right") - 1
+
+
+def simulate(values: np.ndarray, numbers: np.ndarray, low: np.ndarray, high: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """simulations x features medians of so many rows each, drawn with replacement from values[low:high]."""
+    out = np.empty((len(numbers), values.shape[1]))
+    columns = np.ascontiguousarray(values.T)
+    for size in np.unique(sizes):
+        same = np.flatnonzero(sizes == size)
+        step = max(1, DRAWS_AT_ONCE // int(size))
+        for first in range(0, len(same), step):
+            at = same[first : first + step]
+            share = _share(_mix(numbers[at, None] + np.arange(1, size + 1, dtype=np.uint64) * _STEP))
+            place = low[at, None] + (share * (high - low)[at, None]).astype(np.int64)
+            for f, column in enumerate(columns):
+                out[at, f] = np.median(column[place], axis=1, overwrite_input=True)
+    return out
+
+
+def construct_bootstrap(constructs: DataFrame, controls: DataFrame, features: list[str], construct: str, size: str = "cell_count", sims: int = 1000, seed: int = 42, keep: str | None = None, write: bool = True) -> DataFrame:
     """construct, sim, x: the null medians of every construct (x in the order of features), one row for each simulation.
 
     Every control row without missing features takes part. Rows are numbered in the order of construct and features, so
-    that the draws are the same whether the values are broadcast or joined.
+    that the draws are the same whether the values are broadcast or dealt: a simulation needs the rows of one control
+    construct only, so it goes, as a name and a number, to the block that has them. keep: a column of constructs (their gene)
+    that goes along. write: the nulls are drawn once and written, as several steps may read them.
     """
     spark = constructs.sparkSession
     ship(spark)
     kind = dict(constructs.dtypes)[construct]
+    carried = [construct, *([keep] if keep else [])]
+    fields = ", ".join(f"`{c}` {dict(constructs.dtypes)[c]}" for c in carried)
     rows = controls.select(construct, *[F.col(f).cast("double").alias(f) for f in features]).na.drop()
-    counts = rows.groupBy(construct).agg(F.count("*").alias("n")).collect()  # control constructs, some thousands
-    counts = sorted(counts, key=lambda r: r[0])
-    starts = np.concatenate([[0], np.cumsum([r.n for r in counts], dtype=np.int64)])
+    counts = rows.groupBy(construct).agg(F.count("*").alias("n")).toPandas().sort_values(construct, kind="stable")  # a number for each control construct
+    starts = np.concatenate([[0], np.cumsum(counts["n"].to_numpy(np.int64))])
     # Constructs are few rows but much work: they are dealt to all cores, a number that isn't coalesced again.
-    dealt = constructs.select(construct, size).repartition(spark.sparkContext.defaultParallelism * 2)
-    out = f"`{construct}` {kind}, sim int, x array<double>"
+    dealt = constructs.where(F.col(size) > 0).select(*carried, F.col(size).cast("bigint").alias(size)).repartition(spark.sparkContext.defaultParallelism * 2)
+    out = f"{fields}, sim int, x array<double>"
     if not len(counts):
         return spark.createDataFrame([], out)
+
+    def result(names: list, sim: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1)))
+        return pa.RecordBatch.from_arrays([*names, pa.array(sim, pa.int32()), lists], names=[*carried, "sim", "x"])
+
+    done = (lambda d: materialize(d, "nulls")) if write else (lambda d: d)
     if starts[-1] * len(features) * 8 <= BROADCAST_BYTES:
         pdf = rows.toPandas().sort_values([construct, *features], kind="stable")
         shared = spark.sparkContext.broadcast((pdf[features].to_numpy(float), starts))
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             values, groups = shared.value
             for b in batches:
-                b = b[b[size] > 0]
-                for first in range(0, len(b), 64):
-                    part = b.iloc[first : first + 64]
-                    nulls = [simulate(values, groups, int(k), sims, _seed(seed, name)) for name, k in zip(part[construct], part[size])]
-                    yield pd.DataFrame({construct: np.repeat(part[construct].to_numpy(), sims), "sim": np.tile(np.arange(sims), len(part)), "x": list(np.concatenate(nulls))})
-
-        # Several steps read the nulls: they are drawn once.
-        return materialize(dealt.mapInPandas(run, out), "nulls")
-
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                for first in range(0, len(b), max(1, BLOCK_PAIRS // sims)):
+                    part = b.slice(first, max(1, BLOCK_PAIRS // sims))
+                    who, sim = np.repeat(np.arange(len(part)), sims), np.tile(np.arange(sims), len(part))
+                    numbers = simulations(_seeds(part.column(construct).to_numpy(zero_copy_only=False), seed)[who], sim)
+                    g = drawn_groups(numbers, groups)
+                    nulls = simulate(values, numbers, groups[g], groups[g + 1], part.column(size).to_numpy(zero_copy_only=False)[who])
+                    yield result([part.column(c).take(pa.array(who)) for c in carried], sim, nulls)
+
+        return done(dealt.mapInArrow(run, out))
+
+    # Blocks of whole control constructs; the simulations of one that has more rows than a block go to several copies of it.
+    total = max(1, constructs.count()) * sims
+    step = int(max(1, min(BLOCK_ROWS, starts[-1] * BLOCK_PAIRS // total)))
+    block_of = starts[:-1] // step
+    copies = np.maximum(1, np.bincount(block_of, counts["n"].to_numpy(float)).astype(np.int64) // (2 * step))
+    shared = spark.sparkContext.broadcast((starts, block_of, copies))
+    blocks = int(len(np.unique(block_of)))
+    tasks = max(spark.sparkContext.defaultParallelism * 2, min(blocks, 1024))
+    place = pd.DataFrame({"k_": counts[construct].to_numpy(), "b_": block_of, "n_": copies[block_of]})
+    place = materialize(spark.createDataFrame(pa.Table.from_pandas(place, preserve_index=False)).select(F.col("k_").cast(kind).alias("k_"), "b_", "n_"), "blocks")
+    values = rows.join(place.hint("merge"), F.col(construct) == F.col("k_")).select(F.col("b_"), F.explode(F.sequence(F.lit(0), (F.col("n_") - 1).cast("int"))).alias("p_"), construct, *features)
+    packed = ", ".join([*[f"`{c}` array<{dict(constructs.dtypes)[c]}>" for c in carried], "size array<bigint>, sim array<int>"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts, block_of, copies = shared.value
+        for b in batches:
+            for first in range(0, len(b), max(1, BLOCK_PAIRS // sims)):
+                part = b.slice(first, max(1, BLOCK_PAIRS // sims))
+                who, sim = np.repeat(np.arange(len(part)), sims), np.tile(np.arange(sims), len(part))
+                numbers = simulations(_seeds(part.column(construct).to_numpy(zero_copy_only=False), seed)[who], sim)
+                block = block_of[drawn_groups(numbers, starts)]
+                copy = (_mix(numbers + np.uint64(1)) % copies[block].astype(np.uint64)).astype(np.int64)
+                order = np.lexsort((copy, block))
+                block, copy, who, sim = block[order], copy[order], who[order], sim[order]
+                cut = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (copy[1:] != copy[:-1])))
+                ends = pa.array(np.append(cut, len(who)), pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, part.column(c).take(pa.array(who))) for c in [*carried, size]] + [pa.ListArray.from_arrays(ends, pa.array(sim, pa.int32()))]
+                yield pa.RecordBatch.from_arrays([pa.array(block[cut]), pa.array(copy[cut], pa.int32()), *lists], names=["b_", "p_", *carried, "size", "sim"])
+
+    def meet(pairs: pa.Table, mine: pa.Table) -> pa.Table:
+        starts, block_of, _ = shared.value
+        flat = {c: pa.concat_arrays([x.flatten() for x in pairs.column(c).chunks]) for c in [*carried, "size", "sim"]} if len(pairs) else None
+        if flat is None:
+            return pa.table(result([pa.array([], mine.schema.field(construct).type)] * len(carried), np.zeros(0, int), np.zeros((0, 1)))).slice(0, 0)
+        block = mine.select([construct, *features]).to_pandas().sort_values([construct, *features], kind="stable")[features].to_numpy(float)
+        names = flat[construct].to_numpy(zero_copy_only=False)
+        sim = flat["sim"].to_numpy(zero_copy_only=False)
+        numbers = simulations(_seeds(names, seed), sim)
+        g = drawn_groups(numbers, starts)
+        base = starts[np.searchsorted(block_of, mine.column("b_")[0].as_py())]
+        nulls = simulate(block, numbers, starts[g] - base, starts[g + 1] - base, flat["size"].to_numpy(zero_copy_only=False))
+        return pa.Table.from_batches([result([flat[c] for c in carried], sim, nulls)])
+
+    pairs = dealt.mapInArrow(deal, f"b_ bigint, p_ int, {packed}").repartition(tasks, "b_", "p_")
+    return done(pairs.groupBy("b_", "p_").cogroup(values.repartition(tasks, "b_", "p_").groupBy("b_", "p_")).applyInArrow(meet, out))
+
+
+def gene_null(nulls: DataFrame, members: DataFrame | None, construct: str, gene: str) -> DataFrame:
+    """Gene nulls: the element-wise median over the gene's constructs, simulation by simulation. Nulls that have the gene's
+    column need no members. Values are packed by gene and simulation before they are sent to where their median is taken."""
+    ship(nulls.sparkSession)
+    long = nulls if gene in nulls.columns else nulls.join(members.select(construct, gene).distinct(), construct)
+    long = long.where(F.col("x").isNotNull()).select(gene, "sim", "x")
+    types = dict(long.dtypes)
+    fields = f"`{gene}` {types[gene]}, sim {types['sim']}"
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for b in batches:
-            for name, k in zip(b[construct], b[size]):
-                if k > 0:
-                    picked = draws(starts, int(k), sims, _seed(seed, name))
-                    for first in range(0, sims, max(1, 100_000 // int(k))):
-                        part = picked[first : first + max(1, 100_000 // int(k))]
-                        yield pd.DataFrame({construct: name, "sim": np.repeat(np.arange(first, first + len(part)), part.shape[1]), "place": part.reshape(-1)})
-
-    def medians(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({construct: [key[0]], "sim": [key[1]], "x": [np.median(np.stack(rows["v"].to_numpy()), axis=0)]})
-
-    # Equal rows may stand in any order among themselves: they're equal.
-    numbered = rows.groupBy(construct, *features).agg(F.count("*").alias("c_")).withColumn("o_", F.struct(construct, *features))
-    numbered = cumulative(numbered, "o_", "c_", "end_").select(F.explode(F.sequence(F.col("end_") - F.col("c_"), F.col("end_") - 1)).alias("place"), F.array(*features).alias("v"))
-    met = dealt.mapInPandas(draw, f"`{construct}` {kind}, sim int, place bigint").join(numbered, "place")
-    return materialize(met.select(construct, "sim", "v").groupBy(construct, "sim").applyInPandas(medians, out), "nulls")
-
-
-def gene_null(nulls: DataFrame, members: DataFrame, construct: str, gene: str) -> DataFrame:
-    """Gene nulls: the element-wise median over the gene's constructs, simulation by simulation."""
-    long = nulls.join(members.select(construct, gene).distinct(), construct).select(gene, "sim", F.posexplode("x").alias("pos", "v"))
-    each = long.groupBy(gene, "sim", "pos").agg(F.percentile("v", 0.5).alias("v"))
-    return each.groupBy(gene, "sim").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "v"))), lambda s: s["v"]).alias("x"))
+            held.append(b)
+            n += len(b)
+            if n >= PACKED_ROWS:
+                yield packed(pa.Table.from_batches(held))
+                held, n = [], 0
+        if n:
+            yield packed(pa.Table.from_batches(held))
+
+    def packed(t: pa.Table) -> pa.RecordBatch:
+        t = t.combine_chunks()
+        codes = [pc.dictionary_encode(t.column(c), null_encoding="encode").combine_chunks() for c in (gene, "sim")]
+        codes = [(c.chunk(0) if isinstance(c, pa.ChunkedArray) else c).indices.to_numpy() for c in codes]
+        order = np.lexsort(codes[::-1])
+        a, b = (c[order] for c in codes)
+        cut = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+        x = t.column("x").take(pa.array(order)).combine_chunks()
+        x = x.chunk(0) if isinstance(x, pa.ChunkedArray) else x
+        offsets = np.append(0, np.cumsum(pc.list_value_length(x).to_numpy()))
+        lists = pa.ListArray.from_arrays(pa.array(offsets[np.append(cut, len(order))], pa.int32()), x.flatten())
+        first = t.select([gene, "sim"]).take(pa.array(order[cut])).combine_chunks()
+        return pa.RecordBatch.from_arrays([*[c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in first.columns], lists, pa.array((offsets[cut + 1] - offsets[cut]), pa.int32())], names=[gene, "sim", "x", "width"])
+
+    def median(t: pa.Table) -> pa.Table:
+        x = pa.concat_arrays([c.flatten() for c in t.column("x").chunks]).to_numpy(zero_copy_only=False).astype(float).reshape(-1, t.column("width")[0].as_py())
+        some = ~np.isnan(x).all(0)
+        middle = np.full(x.shape[1], np.nan)
+        middle[some] = np.nanmedian(x[:, some], axis=0) if np.isnan(x).any() else np.median(x, axis=0)
+        return pa.table({gene: t.column(gene).slice(0, 1), "sim": t.column("sim").slice(0, 1), "x": pa.array([[None if np.isnan(v) else float(v) for v in middle]], pa.list_(pa.float64()))})
+
+    each = long.mapInArrow(pack, f"{fields}, x array<double>, width int")
+    return each.groupBy(gene, "sim").applyInArrow(median, f"{fields}, x array<double>")
 
 
 def p_values(nulls: DataFrame, observed: DataFrame, features: list[str], key: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wellspring.functions import stats
 from wellspring.operators import bootstrap, classify, filters, merge, normalise, qc
 from wellspring.plans.roles import BATCH, CELLS_SQL, FEATURES, KEYS, cells, control, rounded, table
+from wellspring.session import materialize
 from wellspring.sources import tables as sources
 
 QUERIES: dict = {}
@@ -176,9 +177,9 @@ def fold_pvalue(spark, d):
 @query()
 def bootstrap_genes(spark, d):
     df = cells(spark, d)
-    c = normalise.construct_table(df, ["q", "price"], "construct", "gene")
-    nulls = bootstrap.construct_bootstrap(c, df.where(control()), ["q", "price"], "construct", sims=50)
-    genes = bootstrap.gene_null(nulls, c, "construct", "gene")
+    c = materialize(normalise.construct_table(df, ["q", "price"], "construct", "gene"), "constructs")
+    nulls = bootstrap.construct_bootstrap(c, df.where(control()), ["q", "price"], "construct", sims=50, keep="gene", write=False)
+    genes = bootstrap.gene_null(nulls, None, "construct", "gene")
     observed = normalise.gene_table(c, ["q", "price"], "gene")
     return bootstrap.correct_pooled(bootstrap.p_values(genes, observed, ["q", "price"], "gene"), ["q", "price"], "gene")
 
