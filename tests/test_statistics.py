@@ -388,3 +388,19 @@ def test_simulations_come_to_blocks_of_controls(spark, monkeypatch):
     far = draw(keep="g", write=False)
     assert sorted(far.select("k", "sim", "x").collect()) == one and len(one) == 360
     assert {tuple(r) for r in bootstrap.gene_null(far, None, "k", "g").select("g", "sim", F.col("x")[0]).collect()} == want and len(want) == 80
+
+
+def test_sparse_affinities_and_landmarks(monkeypatch):
+    rng = np.random.default_rng(9)
+    x = np.vstack([rng.normal(size=(120, 4)) + c for c in (0, 8, 16)])
+    k = graph.sparse_kernel(x, block=50)
+    dense = np.zeros((360, 360))
+    dense[graph._rows(k), k[1]] = k[2]
+    assert np.allclose(dense, graph.kernel(x)) and len(k[2]) < 360 * 40
+    off = dense - np.diag(np.diag(dense))
+    assert (graph.leiden(off) == graph.leiden(graph._sparse(*np.nonzero(off), off[np.nonzero(off)], 360))).all()
+    monkeypatch.setattr(graph, "LANDMARKS", 60)
+    y = graph.landmark_embedding(x, k, block=100)
+    middle = [y[a : a + 120].mean(0) for a in (0, 120, 240)]
+    nearest = np.array([[((p - c) ** 2).sum() for c in middle] for p in y]).argmin(1)
+    assert y.shape == (360, 2) and (nearest == np.repeat([0, 1, 2], 120)).mean() > 0.95
