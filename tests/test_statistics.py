@@ -404,3 +404,28 @@ def test_sparse_affinities_and_landmarks(monkeypatch):
     middle = [y[a : a + 120].mean(0) for a in (0, 120, 240)]
     nearest = np.array([[((p - c) ** 2).sum() for c in middle] for p in y]).argmin(1)
     assert y.shape == (360, 2) and (nearest == np.repeat([0, 1, 2], 120)).mean() > 0.95
+
+
+def test_nearest_hashes_and_distances_in_bounded_memory(monkeypatch):
+    rng = np.random.default_rng(11)
+    a, b = (registration.triangle_hashes(rng.random((n, 2)) * 100) for n in (150, 180))
+    va, vb = (np.stack(h["v"].to_numpy()) / h["magnitude"].to_numpy()[:, None] for h in (a, b))
+    vb = np.vstack([vb, va[:50] + 0.01])
+    vb[:, :2] /= np.sqrt((vb[:, :2] ** 2).sum(1))[:, None]
+    monkeypatch.setattr(registration, "DISTANCES", 1000)
+    d = np.sqrt(((va[:, None] - vb[None]) ** 2).sum(-1))
+    got, distance = registration.nearest_hashes(va, vb, 0.3)
+    met = d.min(1) < 0.3
+    assert met.sum() >= 50 and ((distance < 0.3) == met).all() and (got[met] == d.argmin(1)[met]).all()
+    p, q = rng.random((300, 2)) * [900, 30], rng.random((200, 2)) * [1100, 90] - 40
+    want = np.sqrt(((q[:, None] - p[None]) ** 2).sum(-1)).min(1)
+    assert np.allclose(registration.nearest_distance(p, q, 20.0), np.where(want < 20, want, np.inf))
+
+
+def test_coincident_cells_all_meet(spark):
+    from wellspring.operators import joins
+
+    a = spark.createDataFrame([("p", "w", 1, c, x, 5.0) for c, x in ((1, 0.0), (2, 0.0), (3, 9.0), (4, 0.0))], "plate string, well string, tile int, cell int, i double, j double")
+    al = spark.createDataFrame([("p", "w", 1, 1, [[1.0, 0.0], [0.0, 1.0]], [0.0, 0.0])], "plate string, well string, tile int, site int, rotation array<array<double>>, translation array<double>")
+    met = lambda **o: sorted((r.cell_0, r.cell_1) for r in joins.merge_by_alignment(a, a.withColumnRenamed("tile", "site"), al, 2.0, **o).collect())
+    assert met() == [(1, 1), (3, 3)] and met(coincident=True) == [(c, c) for c in (1, 2, 3, 4)]

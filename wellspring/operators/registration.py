@@ -38,9 +38,15 @@ def delaunay(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     circles, corners, alive = np.zeros((size, 3)), np.zeros((size, 3), int), np.zeros(size, bool)
     corners[0], circles[0], alive[0] = (n, n + 1, n + 2), circle((n, n + 1, n + 2)), True
     used = 1
-    for k in np.lexsort((points[:, 1], points[:, 0])):
+    # Points come from left to right: a circle that ends left of them is done with, and isn't looked at again.
+    active = np.zeros(1, int)
+    for step, k in enumerate(np.lexsort((points[:, 1], points[:, 0]))):
         x, y = p[k] - middle
-        bad = np.flatnonzero(alive[:used] & ((circles[:used, 0] - x) ** 2 + (circles[:used, 1] - y) ** 2 < circles[:used, 2] * (1 + 1e-12)))
+        if step % 64 == 0:
+            active = active[alive[active] & (circles[active, 0] + np.sqrt(circles[active, 2]) * (1 + 1e-9) >= x)]
+        c = circles[active]
+        bad = active[alive[active] & ((c[:, 0] - x) ** 2 + (c[:, 1] - y) ** 2 < c[:, 2] * (1 + 1e-12))]
+        first = used
         edges: dict[tuple[int, int], int] = {}
         for t in bad:
             a, b, c = corners[t]
@@ -60,6 +66,7 @@ def delaunay(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                         circles, corners, alive = np.vstack([circles, np.zeros((grow, 3))]), np.vstack([corners, np.zeros((grow, 3), int)]), np.append(alive, np.zeros(grow, bool))
                         size += grow
                 corners[at], circles[at], alive[at] = (a, b, k), circle((a, b, k)), True
+        active = np.append(active, np.arange(first, used))
     triangles = corners[:used][alive[:used]]
     triangles = triangles[(triangles < n).all(1)]
     beside = -np.ones((len(triangles), 3), int)
@@ -151,6 +158,69 @@ def ransac_affine(x: np.ndarray, y: np.ndarray, threshold: float = 2.0, trials:
     return m[:2].T, m[2], best
 
 
+#: Distances that are held at once.
+DISTANCES = 1 << 22
+
+
+def nearest_hashes(va: np.ndarray, vb: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of va the nearest of vb and its distance, exact where that is under the threshold, else infinite or
+    larger. Longest edges come first and have length 1: only those turned by less than the threshold's chord are compared."""
+    nearest, distance = np.zeros(len(va), int), np.full(len(va), np.inf)
+    square = (vb**2).sum(1)
+    turn = lambda v: np.arctan2(v[:, 1], v[:, 0])
+    ta, tb = turn(va), turn(vb)
+    reach = 2 * np.arcsin(min(1.0, threshold / 2)) + 1e-9
+    order_a, order_b = np.argsort(ta, kind="stable"), np.argsort(tb, kind="stable")
+    sorted_b = tb[order_b]
+    step = int(max(1, min(1024, DISTANCES // max(1, len(vb)))))
+    for first in range(0, len(va), step):
+        at = order_a[first : first + step]
+        low, high = ta[at[0]] - reach, ta[at[-1]] + reach
+        if high - low >= 2 * np.pi:
+            can = np.arange(len(vb))
+        else:
+            parts = [order_b[np.searchsorted(sorted_b, low + w, "left") : np.searchsorted(sorted_b, high + w, "right")] for w in (-2 * np.pi, 0, 2 * np.pi)]
+            can = np.unique(np.concatenate(parts))
+        if len(can):
+            d = va[at] @ vb[can].T
+            d *= -2
+            d += square[can]
+            d += (va[at] ** 2).sum(1)[:, None]
+            j = d.argmin(1)
+            nearest[at], distance[at] = can[j], np.sqrt(np.maximum(d[np.arange(len(at)), j], 0))
+    return nearest, distance
+
+
+def nearest_distance(points: np.ndarray, at: np.ndarray, limit: float) -> np.ndarray:
+    """The distance of each of `at` to its nearest point, infinite beyond the limit; by rings of a grid's cells."""
+    out = np.full(len(at), np.inf)
+    low = points.min(0)
+    span = np.maximum(np.ptp(points, axis=0), 1e-9)
+    size = max(float(np.sqrt(span.prod() / len(points))), float(span.max()) / 4096, limit / 64)
+    shape = (span // size).astype(int) + 1
+    cell = np.minimum(((points - low) // size).astype(int), shape - 1)
+    code = cell[:, 0] * shape[1] + cell[:, 1]
+    order = np.argsort(code, kind="stable")
+    starts = np.searchsorted(code[order], np.arange(shape[0] * shape[1] + 1))
+    own = np.floor((at - low) / size).astype(int)
+    todo = np.arange(len(at))
+    for ring in range(int(limit / size) + 2):
+        for dx in range(-ring, ring + 1):
+            for dy in range(-ring, ring + 1) if abs(dx) == ring else (-ring, ring):
+                x, y = own[todo, 0] + dx, own[todo, 1] + dy
+                inside = (x >= 0) & (x < shape[0]) & (y >= 0) & (y < shape[1])
+                who, c = todo[inside], (x * shape[1] + y)[inside]
+                place, end = starts[c], starts[c + 1]
+                while len(who := who[more := place < end]):
+                    place, end = place[more], end[more]
+                    out[who] = np.minimum(out[who], np.sqrt(((points[order[place]] - at[who]) ** 2).sum(1)))
+                    place = place + 1
+        todo = todo[out[todo] > ring * size]
+        if not len(todo):
+            break
+    return np.where(out < limit, out, np.inf)
+
+
 def evaluate_match(a: pd.DataFrame, b: pd.DataFrame, hash_threshold: float = 0.3, point_threshold: float = 2.0, near: float = 50.0, seed: int = 42) -> tuple[np.ndarray | None, np.ndarray | None, float]:
     """Rotation, translation and score of two hash tables; score -1 where fewer than five hashes meet.
 
@@ -162,11 +232,7 @@ def evaluate_match(a: pd.DataFrame, b: pd.DataFrame, hash_threshold: float = 0.3
     unit = lambda d: np.stack(d["v"].to_numpy()) / d["magnitude"].to_numpy()[:, None]
     va, vb = unit(a), unit(b)
     ca, cb = a[["c_0", "c_1"]].to_numpy(float), b[["c_0", "c_1"]].to_numpy(float)
-    nearest, distance = np.empty(len(va), int), np.empty(len(va))
-    square = (vb**2).sum(1)
-    for k in range(0, len(va), 1024):
-        d = (va[k : k + 1024] ** 2).sum(1)[:, None] + square[None] - 2 * va[k : k + 1024] @ vb.T
-        nearest[k : k + 1024], distance[k : k + 1024] = d.argmin(1), np.sqrt(np.maximum(d.min(1), 0))
+    nearest, distance = nearest_hashes(va, vb, hash_threshold)
     met = distance < hash_threshold
     if met.sum() < 5:
         return None, None, -1.0
@@ -175,7 +241,7 @@ def evaluate_match(a: pd.DataFrame, b: pd.DataFrame, hash_threshold: float = 0.3
         return None, None, -1.0
     rotation, translation, _ = model
     moved = ca @ rotation.T + translation
-    low = np.array([np.sqrt(((moved - c) ** 2).sum(1).min()) for c in cb])
+    low = nearest_distance(moved, cb, near)
     close = low < near
     return rotation, translation, float((low[close] < point_threshold).mean()) if close.any() else 0.0
 
@@ -204,6 +270,8 @@ def multistep_alignment(hashes_0: DataFrame, hashes_1: DataFrame, where_0: DataF
     It ends when a batch brings no good pair, or no pair is left.
     where_0, where_1: keys, tile / site, x_pos, y_pos. Tables of tiles, hundreds a well, are what the driver sees.
     """
+    # Every batch of pairs reads the hashes.
+    hashes_0, hashes_1 = materialize(hashes_0, "hashes"), materialize(hashes_1, "hashes")
     good = lambda d: d[d["determinant"].between(*determinants) & (d["score"] > score)]
     done = align_pairs(hashes_0, hashes_1, seeds, keys, **options).toPandas()
     a, b = where_0.toPandas(), where_1.toPandas()
