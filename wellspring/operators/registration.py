@@ -115,7 +115,7 @@ def triangle_hashes(points: np.ndarray) -> pd.DataFrame:
             first, last = (a, b) if np.linalg.norm(points[other] - points[a]) >= np.linalg.norm(points[other] - points[b]) else (b, a)
             edges += [points[other] - points[first], points[other] - points[last]]
         v = np.concatenate(edges)
-        rows.append((v.tolist(), *points[corners].mean(0).tolist(), float(np.sqrt(-sides[0][0]))))
+        rows.append((v, *points[corners].mean(0).tolist(), float(np.sqrt(-sides[0][0]))))
     return pd.DataFrame(rows, columns=["v", "c_0", "c_1", "magnitude"])
 
 
