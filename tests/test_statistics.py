@@ -429,3 +429,23 @@ def test_coincident_cells_all_meet(spark):
     al = spark.createDataFrame([("p", "w", 1, 1, [[1.0, 0.0], [0.0, 1.0]], [0.0, 0.0])], "plate string, well string, tile int, site int, rotation array<array<double>>, translation array<double>")
     met = lambda **o: sorted((r.cell_0, r.cell_1) for r in joins.merge_by_alignment(a, a.withColumnRenamed("tile", "site"), al, 2.0, **o).collect())
     assert met() == [(1, 1), (3, 3)] and met(coincident=True) == [(c, c) for c in (1, 2, 3, 4)]
+
+
+def test_clusters_of_more_genes_than_fit_one_matrix(spark, monkeypatch):
+    """Beyond 20,000 rows too, which were an error; the executors' affinities are those of one process."""
+    monkeypatch.setattr(graph, "LANDMARKS", 60)
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(500, 3))
+    x[7:20] = x[7]
+    k = graph.sparse_kernel(x)
+    off = graph._rows(k) != k[1]
+    starts, columns, values = graph.spread_kernel(spark, x, block=64)
+    assert (graph._rows((starts, columns, values)) == graph._rows(k)[off]).all() and (columns == k[1][off]).all() and np.allclose(values, k[2][off])
+    part = graph._affinities(x, 0, 500, 10, 40.0, chunk=50)
+    one = graph._affinities(x, 0, 500, 10, 40.0)
+    assert sorted(zip(*(c.tolist() for c in part))) == sorted(zip(*(c.tolist() for c in one)))
+    n = 20_100
+    df = spark.range(n).select(F.col("id").alias("gene"), *[(F.rand(c) + 9 * (F.col("id") % 3)).alias(f"f{c}") for c in range(2)])
+    got = graph.phate_leiden(df, "gene", ["f0", "f1"], resolution=0.01).toPandas()
+    assert sorted(got["gene"]) == list(range(n)) and got.groupby("cluster")["gene"].agg(lambda g: (g % 3).nunique()).eq(1).all()
+    assert got[["PHATE_0", "PHATE_1"]].notna().all().all()
