@@ -449,3 +449,42 @@ def test_clusters_of_more_genes_than_fit_one_matrix(spark, monkeypatch):
     got = graph.phate_leiden(df, "gene", ["f0", "f1"], resolution=0.01).toPandas()
     assert sorted(got["gene"]) == list(range(n)) and got.groupby("cluster")["gene"].agg(lambda g: (g % 3).nunique()).eq(1).all()
     assert got[["PHATE_0", "PHATE_1"]].notna().all().all()
+
+
+def test_triangles_of_awkward_points():
+    rng = np.random.default_rng(13)
+    grid = np.array([(x, y) for x in range(12) for y in range(12)], float)
+    for p in (grid, np.vstack([grid, grid[:5], grid[20:60] + 1e-13]), np.column_stack([np.arange(9.0), np.zeros(9)])):
+        t, beside = registration.delaunay(p)
+        area = lambda t, p: (p[t[:, 1], 0] - p[t[:, 0], 0]) * (p[t[:, 2], 1] - p[t[:, 0], 1]) - (p[t[:, 1], 1] - p[t[:, 0], 1]) * (p[t[:, 2], 0] - p[t[:, 0], 0])
+        assert abs(area(t, p).sum() - 2 * np.ptp(p, axis=0).prod()) < 1e-6 and (area(t, p) >= -1e-9).all()
+        assert all(n < 0 or k in beside[n] for k, row in enumerate(beside) for n in row)
+    # Hashes don't depend on the order of the points.
+    p = rng.random((300, 2)) * 100
+    key = lambda h: np.round(np.column_stack([h[["c_0", "c_1"]].to_numpy(), np.stack(h["v"].to_numpy())]), 6)
+    a, b = (key(registration.triangle_hashes(q)) for q in (p, p[rng.permutation(300)]))
+    assert (a[np.lexsort((a[:, 1], a[:, 0]))] == b[np.lexsort((b[:, 1], b[:, 0]))]).all()
+
+
+def test_models_without_hope_are_left_early_and_copies_are_met_once(monkeypatch):
+    rng = np.random.default_rng(14)
+    x = rng.random((500, 2)) * 100
+    y = np.where(rng.random(500)[:, None] < 0.6, x + [3, -2], rng.random((500, 2)) * 100)
+    whole = registration.ransac_affine(x, y)
+    monkeypatch.setattr(registration, "RANSAC_ROWS", 20)
+    early = registration.ransac_affine(x, y)
+    assert all((a == b).all() for a, b in zip(whole, early)) and 250 < early[2].sum() < 350
+    points = np.repeat(rng.random((3, 2)), 400, axis=0)
+    assert np.allclose(registration.nearest_distance(points, points[::100] + [1e-3, 0], 0.5), 1e-3)
+
+
+def test_packed_tiles_align_as_hashes_do(spark):
+    rng = np.random.default_rng(15)
+    x = rng.random((400, 2)) * 500
+    turn = np.array([[math.cos(0.03), -math.sin(0.03)], [math.sin(0.03), math.cos(0.03)]])
+    frame = lambda p: spark.createDataFrame([("w", t, float(i), float(j)) for t, q in ((0, p), (1, p[:3])) for i, j in q], "well string, tile int, i double, j double")
+    pairs = spark.createDataFrame([("w", 0, 0)], "well string, tile int, site int")
+    get = lambda packed: registration.align_pairs(*(registration.hash_cells(frame(p), ["well", "tile"], packed) for p in (x, x @ turn.T + [5.0, -9.0])), pairs, ["well"]).collect()
+    (a,), (b,) = get(True), get(False)
+    assert a == b and a.score > 0.9 and np.allclose(a.translation, [5, -9], atol=0.1)
+    assert [r.tile for r in registration.hash_cells(frame(x), ["well", "tile"], True).collect()] == [0]

@@ -5,6 +5,8 @@ Tiles are bounded groups of points; each is triangulated where it is (applyInPan
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -13,10 +15,36 @@ from pyspark.sql import functions as F
 from wellspring.session import materialize, ship
 
 
+def _curve(points: np.ndarray) -> np.ndarray:
+    """The order of points along a Hilbert curve, then by their places: neighbours follow each other."""
+    x, y = ((points - points.min(0)) / max(np.ptp(points, axis=0).max(), 1e-300) * 65535).astype(np.int64).T
+    code = np.zeros(len(points), np.int64)
+    for bit in 1 << np.arange(15, -1, -1):
+        right, up = (x & bit) > 0, (y & bit) > 0
+        code = code * 4 + (3 * right ^ up)
+        x, y = np.where(~up & right, bit - 1 - (x & (bit - 1)), x & (bit - 1)), np.where(~up & right, bit - 1 - (y & (bit - 1)), y & (bit - 1))
+        x, y = np.where(~up, y, x), np.where(~up, x, y)
+    return np.lexsort((points[:, 1], points[:, 0], code))
+
+
+def _side(a: tuple, b: tuple, c: tuple) -> Fraction:
+    """Above 0 where c is left of the line from a to b, without rounding."""
+    (ax, ay), (bx, by), (cx, cy) = (tuple(map(Fraction, p)) for p in (a, b, c))
+    return (ax - cx) * (by - cy) - (ay - cy) * (bx - cx)
+
+
+def _inside(a: tuple, b: tuple, c: tuple, d: tuple) -> Fraction:
+    """Above 0 where d is inside the circle of a, b and c (counter-clockwise), without rounding."""
+    dx, dy = Fraction(d[0]), Fraction(d[1])
+    (ax, ay), (bx, by), (cx, cy) = ((Fraction(x) - dx, Fraction(y) - dy) for x, y in (a, b, c))
+    return (ax * ax + ay * ay) * (bx * cy - cx * by) + (bx * bx + by * by) * (cx * ay - ax * cy) + (cx * cx + cy * cy) * (ax * by - bx * ay)
+
+
 def delaunay(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Triangles (indices) and, for each, the triangle across each of its edges (-1: none), by incremental insertion.
+    """Triangles (indices, counter-clockwise) and, for each, the triangle across each of its edges (-1: none), by incremental insertion.
 
-    neighbours[t, k] shares the edge opposite to corner k.
+    neighbours[t, k] shares the edge opposite to corner k. Points are inserted along a curve, each found by walking from the
+    last one; where rounding could change a sign it is computed exactly. Of equal points only the first is a corner.
     """
     n = len(points)
     if n < 3:
@@ -24,62 +52,96 @@ def delaunay(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     middle, span = points.mean(0), max(np.ptp(points, axis=0).max(), 1e-9)
     big = middle + span * 50 * np.array([[-1.0, -0.8], [1.1, -0.9], [0.05, 1.2]])
     p = np.vstack([points, big])
-
-    def circle(t: tuple[int, int, int]) -> tuple[float, float, float]:
-        (ax, ay), (bx, by), (cx, cy) = p[list(t)] - middle
-        d = 2 * (ax * (by - cy) + bx * (cy - ay) + cx * (ay - by))
-        if abs(d) < 1e-300:
-            return 0.0, 0.0, np.inf
-        a, b, c = ax * ax + ay * ay, bx * bx + by * by, cx * cx + cy * cy
-        x, y = (a * (by - cy) + b * (cy - ay) + c * (ay - by)) / d, (a * (cx - bx) + b * (ax - cx) + c * (bx - ax)) / d
-        return x, y, (x - ax) ** 2 + (y - ay) ** 2
-
-    size = 4 * n + 64
-    circles, corners, alive = np.zeros((size, 3)), np.zeros((size, 3), int), np.zeros(size, bool)
-    corners[0], circles[0], alive[0] = (n, n + 1, n + 2), circle((n, n + 1, n + 2)), True
-    used = 1
-    # Points come from left to right: a circle that ends left of them is done with, and isn't looked at again.
-    active = np.zeros(1, int)
-    for step, k in enumerate(np.lexsort((points[:, 1], points[:, 0]))):
-        x, y = p[k] - middle
-        if step % 64 == 0:
-            active = active[alive[active] & (circles[active, 0] + np.sqrt(circles[active, 2]) * (1 + 1e-9) >= x)]
-        c = circles[active]
-        bad = active[alive[active] & ((c[:, 0] - x) ** 2 + (c[:, 1] - y) ** 2 < c[:, 2] * (1 + 1e-12))]
-        first = used
-        edges: dict[tuple[int, int], int] = {}
-        for t in bad:
-            a, b, c = corners[t]
-            for e in ((a, b), (b, c), (c, a)):
-                key = (min(e), max(e))
-                edges[key] = edges.get(key, 0) + 1
-        alive[bad] = False
-        free = list(bad)
-        for (a, b), count in edges.items():
-            if count == 1:
-                if free:
-                    at = free.pop()
+    px, py = p[:, 0].tolist(), p[:, 1].tolist()
+    at = lambda k: (px[k], py[k])
+    corner, beside = [n, n + 1, n + 2], [-1, -1, -1]
+    t = 0
+    for k in _curve(points).tolist():
+        x, y = px[k], py[k]
+        moving = True
+        while moving:
+            moving = False
+            for e, (u, v) in enumerate(((3 * t + 1, 3 * t + 2), (3 * t + 2, 3 * t), (3 * t, 3 * t + 1))):
+                u, v = corner[u], corner[v]
+                left, right = (px[u] - x) * (py[v] - y), (py[u] - y) * (px[v] - x)
+                side = left - right
+                if side < 4e-16 * (abs(left) + abs(right)) and (side < -4e-16 * (abs(left) + abs(right)) or _side(at(u), at(v), (x, y)) < 0):
+                    t, moving = beside[3 * t + e], True
+                    break
+        if any(px[c] == x and py[c] == y for c in corner[3 * t : 3 * t + 3]):
+            continue
+        bad, stack, rim = {t}, [t], []
+        while stack:
+            f = stack.pop()
+            for e in range(3 * f, 3 * f + 3):
+                g = beside[e]
+                if g in bad:
+                    continue
+                u, v = (corner[e + 1], corner[e + 2]) if e == 3 * f else (corner[e + 1], corner[e - 1]) if e == 3 * f + 1 else (corner[e - 2], corner[e - 1])
+                if g < 0:
+                    rim.append((u, v, -1))
+                    continue
+                a, b, c = corner[3 * g : 3 * g + 3]
+                ax, ay, bx, by, cx, cy = px[a] - x, py[a] - y, px[b] - x, py[b] - y, px[c] - x, py[c] - y
+                a2, b2, c2 = ax * ax + ay * ay, bx * bx + by * by, cx * cx + cy * cy
+                bc, cb, ca, ac, ab, ba = bx * cy, cx * by, cx * ay, ax * cy, ax * by, bx * ay
+                d = a2 * (bc - cb) + b2 * (ca - ac) + c2 * (ab - ba)
+                most = 1.2e-15 * (a2 * (abs(bc) + abs(cb)) + b2 * (abs(ca) + abs(ac)) + c2 * (abs(ab) + abs(ba)))
+                if d > most or (d >= -most and _inside(at(a), at(b), at(c), (x, y)) > 0):
+                    bad.add(g)
+                    stack.append(g)
                 else:
-                    at, used = used, used + 1
-                    if used > size:
-                        grow = size
-                        circles, corners, alive = np.vstack([circles, np.zeros((grow, 3))]), np.vstack([corners, np.zeros((grow, 3), int)]), np.append(alive, np.zeros(grow, bool))
-                        size += grow
-                corners[at], circles[at], alive[at] = (a, b, k), circle((a, b, k)), True
-        active = np.append(active, np.arange(first, used))
-    triangles = corners[:used][alive[:used]]
-    triangles = triangles[(triangles < n).all(1)]
-    beside = -np.ones((len(triangles), 3), int)
-    seen: dict[tuple[int, int], tuple[int, int]] = {}
-    for t, (a, b, c) in enumerate(triangles):
-        for k, e in enumerate(((b, c), (a, c), (a, b))):
-            key = (min(e), max(e))
-            if key in seen:
-                other, side = seen[key]
-                beside[t, k], beside[other, side] = other, t
+                    rim.append((u, v, 3 * g + beside[3 * g : 3 * g + 3].index(f)))
+        free, starts, ends = list(bad), {}, {}
+        for u, v, back in rim:
+            if free:
+                t = free.pop()
+                corner[3 * t : 3 * t + 3] = k, u, v
+                beside[3 * t] = back // 3 if back >= 0 else -1
             else:
-                seen[key] = (t, k)
-    return triangles, beside
+                t = len(corner) // 3
+                corner += (k, u, v)
+                beside += (back // 3 if back >= 0 else -1, -1, -1)
+            if back >= 0:
+                beside[back] = t
+            starts[u], ends[v] = t, t
+        for u, v, _ in rim:
+            f = starts[u]
+            beside[3 * f + 1], beside[3 * f + 2] = starts[v], ends[u]
+    triangles, beside = np.array(corner).reshape(-1, 3), np.array(beside).reshape(-1, 3)
+    mine = (triangles < n).all(1)
+    number = np.append(np.where(mine, np.cumsum(mine) - 1, -1), -1)
+    return triangles[mine], number[beside[mine]]
+
+
+def inner_triangles(points: np.ndarray) -> np.ndarray:
+    """Six points (indices) for each triangle with one beyond each edge: its corners, the one opposite to its longest edge first,
+    to its shortest last, and, in that order, the far corners of the triangles beyond."""
+    triangles, beside = delaunay(points)
+    inner = (beside >= 0).all(1)
+    corners, beside = triangles[inner], beside[inner]
+    sides = np.column_stack([((points[corners[:, (k + 2) % 3]] - points[corners[:, (k + 1) % 3]]) ** 2).sum(1) for k in range(3)])
+    order = np.argsort(-sides, axis=1, kind="stable")
+    far = np.empty_like(corners)
+    for k in range(3):
+        other = triangles[beside[:, k]]
+        new = (other != corners[:, [(k + 1) % 3]]) & (other != corners[:, [(k + 2) % 3]])
+        far[:, k] = other[np.arange(len(other)), new.argmax(1)]
+    return np.column_stack([np.take_along_axis(corners, order, 1), np.take_along_axis(far, order, 1)]).astype(np.int32)
+
+
+def _hashes(points: np.ndarray, six: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """v, centres and lengths of the longest edges of inner triangles."""
+    k0, k1, k2 = (points[six[:, k]] for k in range(3))
+    # The longest edge starts at the corner that the second longest shares with it; the third follows the triangle's turn.
+    turn = np.where((k1[:, 0] - k0[:, 0]) * (k2[:, 1] - k0[:, 1]) > (k1[:, 1] - k0[:, 1]) * (k2[:, 0] - k0[:, 0]), -1.0, 1.0)
+    edges = [k1 - k2, k0 - k2, (k1 - k0) * turn[:, None]]
+    for k, (a, b) in enumerate(((k1, k2), (k0, k2), (k0, k1))):
+        other = points[six[:, 3 + k]]
+        to_a, to_b = other - a, other - b
+        first = ((to_a**2).sum(1) >= (to_b**2).sum(1))[:, None]
+        edges += [np.where(first, to_a, to_b), np.where(first, to_b, to_a)]
+    return np.hstack(edges), (k0 + k1 + k2) / 3, np.sqrt((edges[0] ** 2).sum(1))
 
 
 def triangle_hashes(points: np.ndarray) -> pd.DataFrame:
@@ -88,137 +150,158 @@ def triangle_hashes(points: np.ndarray) -> pd.DataFrame:
     The three own edges come first, longest first; then, in that order, the two other edges of the triangle beyond
     each. Edges point so that the result does not depend on how corners are numbered.
     """
-    triangles, beside = delaunay(points)
-    rows = []
-    for t, (corners, near) in enumerate(zip(triangles, beside)):
-        if (near < 0).any():
-            continue
-        sides = []
-        for k in range(3):
-            a, b = corners[(k + 1) % 3], corners[(k + 2) % 3]
-            v = points[b] - points[a]
-            sides.append((-float(v @ v), k, a, b))
-        sides.sort()
-        edges = []
-        start = None
-        for _, k, a, b in sides:
-            far = corners[k]
-            u, w = (a, b) if start is None or a == start else (b, a)
-            if start is None:
-                # The longest edge starts at the corner that the second longest shares with it.
-                second = {sides[1][2], sides[1][3]}
-                u, w = (a, b) if a in second else (b, a)
-                start = u
-            edges.append(points[w] - points[u])
-        for _, k, a, b in sides:
-            other = next(x for x in triangles[near[k]] if x not in (a, b))
-            first, last = (a, b) if np.linalg.norm(points[other] - points[a]) >= np.linalg.norm(points[other] - points[b]) else (b, a)
-            edges += [points[other] - points[first], points[other] - points[last]]
-        v = np.concatenate(edges)
-        rows.append((v, *points[corners].mean(0).tolist(), float(np.sqrt(-sides[0][0]))))
-    return pd.DataFrame(rows, columns=["v", "c_0", "c_1", "magnitude"])
-
-
-def hash_cells(cells: DataFrame, by: list[str]) -> DataFrame:
-    """Triangle hashes of every tile with more than three located cells."""
+    v, centres, magnitude = _hashes(points, inner_triangles(points))
+    return pd.DataFrame({"v": list(v), "c_0": centres[:, 0], "c_1": centres[:, 1], "magnitude": magnitude})
+
+
+def hash_cells(cells: DataFrame, by: list[str], packed: bool = False) -> DataFrame:
+    """Triangle hashes of every tile with more than three located cells.
+
+    packed: a row for each tile, its points and six of them for each triangle, from which pairs of tiles make the hashes again: a
+    tenth of their bytes, where a tile goes to many pairs.
+    """
     ship(cells.sparkSession)
     types = dict(cells.dtypes)
+    columns = ["points", "packed"] if packed else ["v", "c_0", "c_1", "magnitude"]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = triangle_hashes(pdf[["i", "j"]].drop_duplicates().to_numpy(float)) if len(pdf) > 3 else pd.DataFrame(columns=["v", "c_0", "c_1", "magnitude"])
+        if len(pdf) <= 3:
+            return pd.DataFrame(columns=[*by, *columns])
+        points = pdf[["i", "j"]].drop_duplicates().to_numpy(float)
+        if packed:
+            six = inner_triangles(points)
+            out = pd.DataFrame({"points": [points.tobytes()], "packed": [six.tobytes()]} if len(six) else {c: [] for c in columns})
+        else:
+            out = triangle_hashes(points)
         for c in by:
             out[c] = pdf[c].iloc[0]
-        return out[[*by, "v", "c_0", "c_1", "magnitude"]]
+        return out[[*by, *columns]]
 
-    schema = ", ".join([*[f"`{c}` {types[c]}" for c in by], "v array<double>, c_0 double, c_1 double, magnitude double"])
+    kinds = "points binary, packed binary" if packed else "v array<double>, c_0 double, c_1 double, magnitude double"
+    schema = ", ".join([*[f"`{c}` {types[c]}" for c in by], kinds])
     return cells.where(F.col("i").isNotNull() & F.col("j").isNotNull()).select(*by, "i", "j").groupBy(*by).applyInPandas(run, schema)
 
 
+#: Rows that a random model is tried on at once.
+RANSAC_ROWS = 4096
+
+
 def ransac_affine(x: np.ndarray, y: np.ndarray, threshold: float = 2.0, trials: int = 1000, seed: int = 42) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """(rotation, translation, inliers) of y = x R^T + t by random triples, refitted on the inliers; None without a model."""
     if len(x) < 3:
         return None
     rng = np.random.default_rng(seed)
     ones = np.column_stack([x, np.ones(len(x))])
-    best = None
+    best, most = None, -1
     for _ in range(trials):
         pick = rng.choice(len(x), 3, replace=False)
         try:
             m = np.linalg.solve(ones[pick], y[pick])
         except np.linalg.LinAlgError:
             continue
-        near = ((ones @ m - y) ** 2).sum(1) < threshold**2
-        if best is None or near.sum() > best.sum():
-            best = near
-            if near.all():
+        # A model that has missed too many of the first rows to have more inliers than the best is left there.
+        missed, parts = 0, []
+        for first in range(0, len(x), RANSAC_ROWS):
+            part = slice(first, first + RANSAC_ROWS)
+            parts.append(((ones[part] @ m - y[part]) ** 2).sum(1) < threshold**2)
+            missed += len(parts[-1]) - np.count_nonzero(parts[-1])
+            if len(x) - missed <= most:
                 break
-    if best is None or best.sum() < 3:
+        else:
+            best, most = np.concatenate(parts), len(x) - missed
+            if not missed:
+                break
+    if best is None or most < 3:
         return None
     m = np.linalg.lstsq(ones[best], y[best], rcond=None)[0]
     return m[:2].T, m[2], best
 
 
-#: Distances that are held at once.
-DISTANCES = 1 << 22
+#: Distances that are held at once; rows in a leaf of the search tree, at most.
+DISTANCES, LEAF = 1 << 20, 128
 
 
 def nearest_hashes(va: np.ndarray, vb: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """For each row of va the nearest of vb and its distance, exact where that is under the threshold, else infinite or
-    larger. Longest edges come first and have length 1: only those turned by less than the threshold's chord are compared."""
-    nearest, distance = np.zeros(len(va), int), np.full(len(va), np.inf)
-    square = (vb**2).sum(1)
-    turn = lambda v: np.arctan2(v[:, 1], v[:, 0])
-    ta, tb = turn(va), turn(vb)
-    reach = 2 * np.arcsin(min(1.0, threshold / 2)) + 1e-9
-    order_a, order_b = np.argsort(ta, kind="stable"), np.argsort(tb, kind="stable")
-    sorted_b = tb[order_b]
-    step = int(max(1, min(1024, DISTANCES // max(1, len(vb)))))
-    for first in range(0, len(va), step):
-        at = order_a[first : first + step]
-        low, high = ta[at[0]] - reach, ta[at[-1]] + reach
-        if high - low >= 2 * np.pi:
-            can = np.arange(len(vb))
-        else:
-            parts = [order_b[np.searchsorted(sorted_b, low + w, "left") : np.searchsorted(sorted_b, high + w, "right")] for w in (-2 * np.pi, 0, 2 * np.pi)]
-            can = np.unique(np.concatenate(parts))
-        if len(can):
-            d = va[at] @ vb[can].T
+    larger. By a tree of median splits: first in the leaf where a row falls, then in those whose box is nearer than the best."""
+    nearest, best = np.zeros(len(va), int), np.full(len(va), float(threshold) ** 2)
+    if not len(va) or not len(vb):
+        return nearest, np.full(len(va), np.inf)
+    # Turned so that few directions hold most of the spread: distances stay, boxes get tight.
+    turn = np.linalg.eigh(np.cov(vb.T) if len(vb) > 1 else np.eye(vb.shape[1]))[1][:, ::-1]
+    a, b = va @ turn, vb @ turn
+    square_a, square_b = (a**2).sum(1), (b**2).sum(1)
+
+    def meet(who: np.ndarray, leaf: np.ndarray) -> None:
+        step = max(1, DISTANCES // len(leaf))
+        for first in range(0, len(who), step):
+            at = who[first : first + step]
+            d = a[at] @ b[leaf].T
             d *= -2
-            d += square[can]
-            d += (va[at] ** 2).sum(1)[:, None]
+            d += square_b[leaf]
+            d += square_a[at][:, None]
             j = d.argmin(1)
-            nearest[at], distance[at] = can[j], np.sqrt(np.maximum(d[np.arange(len(at)), j], 0))
-    return nearest, distance
+            low = np.maximum(d[np.arange(len(at)), j], 0)
+            less = low < best[at]
+            best[at[less]], nearest[at[less]] = low[less], leaf[j[less]]
+
+    nodes = []  # box, children or leaf, and the rows of a that fall there
+    todo = [(np.arange(len(b)), np.arange(len(a)), -1, 0)]
+    while todo:
+        mine, who, above, side = todo.pop()
+        box = b[mine].min(0), b[mine].max(0)
+        axis = int((box[1] - box[0]).argmax())
+        middle = np.median(b[mine, axis])
+        if (b[mine, axis] >= middle).all():  # more than half are the least
+            middle = np.nextafter(middle, np.inf)
+        left = b[mine, axis] < middle
+        if (box[0] == box[1]).all():
+            mine = mine[:1]  # copies
+        k = len(nodes)
+        if above >= 0:
+            nodes[above][2 + side] = k
+        if len(mine) <= LEAF:
+            nodes.append([*box, -1, -1, mine, who])
+            if len(who):
+                meet(who, mine)
+            continue
+        nodes.append([*box, -1, -1, None, None])
+        low = a[who, axis] < middle
+        todo += [(mine[left], who[low], k, 0), (mine[~left], who[~low], k, 1)]
+    todo = [(0, np.arange(len(a)))]
+    while todo:
+        k, who = todo.pop()
+        low, high, left, right, leaf, home = nodes[k]
+        x = a[who]
+        out = np.maximum(np.maximum(low - x, x - high), 0)
+        who = who[(out**2).sum(1) < best[who] + 1e-12]
+        if leaf is not None:
+            own = np.zeros(len(who), bool) if not len(home) else np.isin(who, home, kind="sort" if len(who) < 64 else None)
+            who = who[~own]
+        if not len(who):
+            continue
+        if leaf is not None:
+            meet(who, leaf)
+        else:
+            todo += [(left, who), (right, who)]
+    distance = np.sqrt(((va - vb[nearest]) ** 2).sum(1))
+    return nearest, np.where(best < float(threshold) ** 2, distance, np.inf)
 
 
 def nearest_distance(points: np.ndarray, at: np.ndarray, limit: float) -> np.ndarray:
-    """The distance of each of `at` to its nearest point, infinite beyond the limit; by rings of a grid's cells."""
-    out = np.full(len(at), np.inf)
-    low = points.min(0)
-    span = np.maximum(np.ptp(points, axis=0), 1e-9)
-    size = max(float(np.sqrt(span.prod() / len(points))), float(span.max()) / 4096, limit / 64)
-    shape = (span // size).astype(int) + 1
-    cell = np.minimum(((points - low) // size).astype(int), shape - 1)
-    code = cell[:, 0] * shape[1] + cell[:, 1]
-    order = np.argsort(code, kind="stable")
-    starts = np.searchsorted(code[order], np.arange(shape[0] * shape[1] + 1))
-    own = np.floor((at - low) / size).astype(int)
-    todo = np.arange(len(at))
-    for ring in range(int(limit / size) + 2):
-        for dx in range(-ring, ring + 1):
-            for dy in range(-ring, ring + 1) if abs(dx) == ring else (-ring, ring):
-                x, y = own[todo, 0] + dx, own[todo, 1] + dy
-                inside = (x >= 0) & (x < shape[0]) & (y >= 0) & (y < shape[1])
-                who, c = todo[inside], (x * shape[1] + y)[inside]
-                place, end = starts[c], starts[c + 1]
-                while len(who := who[more := place < end]):
-                    place, end = place[more], end[more]
-                    out[who] = np.minimum(out[who], np.sqrt(((points[order[place]] - at[who]) ** 2).sum(1)))
-                    place = place + 1
-        todo = todo[out[todo] > ring * size]
-        if not len(todo):
-            break
-    return np.where(out < limit, out, np.inf)
+    """The distance of each of `at` to its nearest point, infinite beyond the limit."""
+    middle = points.mean(0)
+    return nearest_hashes(at - middle, points - middle, limit)[1]
+
+
+def _unit(d: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes in units of their longest edge, and centres, of a hash table or a packed tile."""
+    if "packed" in d:
+        six = np.frombuffer(d["packed"].iloc[0], np.int32).reshape(-1, 6)
+        v, centres, magnitude = _hashes(np.frombuffer(d["points"].iloc[0]).reshape(-1, 2), six)
+    else:
+        v, centres, magnitude = np.stack(d["v"].to_numpy()), d[["c_0", "c_1"]].to_numpy(float), d["magnitude"].to_numpy()
+    return v / magnitude[:, None], centres
 
 
 def evaluate_match(a: pd.DataFrame, b: pd.DataFrame, hash_threshold: float = 0.3, point_threshold: float = 2.0, near: float = 50.0, seed: int = 42) -> tuple[np.ndarray | None, np.ndarray | None, float]:
@@ -229,9 +312,9 @@ def evaluate_match(a: pd.DataFrame, b: pd.DataFrame, hash_threshold: float = 0.3
     """
     if not len(a) or not len(b):
         return None, None, -1.0
-    unit = lambda d: np.stack(d["v"].to_numpy()) / d["magnitude"].to_numpy()[:, None]
-    va, vb = unit(a), unit(b)
-    ca, cb = a[["c_0", "c_1"]].to_numpy(float), b[["c_0", "c_1"]].to_numpy(float)
+    (va, ca), (vb, cb) = _unit(a), _unit(b)
+    if not len(va) or not len(vb):
+        return None, None, -1.0
     nearest, distance = nearest_hashes(va, vb, hash_threshold)
     met = distance < hash_threshold
     if met.sum() < 5:
@@ -247,7 +330,8 @@ def evaluate_match(a: pd.DataFrame, b: pd.DataFrame, hash_threshold: float = 0.3
 
 
 def align_pairs(hashes_0: DataFrame, hashes_1: DataFrame, pairs: DataFrame, keys: list[str], **options) -> DataFrame:
-    """keys, tile, site, rotation, translation, score and determinant of each (tile, site) pair, all pairs at once."""
+    """keys, tile, site, rotation, translation, score and determinant of each (tile, site) pair, all pairs at once. hashes_0 and
+    hashes_1: as hash_cells gives them, packed or not."""
     ship(hashes_0.sparkSession)
     types = dict(hashes_0.dtypes)
     left = hashes_0.join(pairs, [*keys, "tile"])

@@ -577,7 +577,7 @@ def stepwise_alignment(spark, d):
     c, s = math.cos(0.03), math.sin(0.03)
     a = table(spark, d, "customer").selectExpr("'w' AS well", "c_custkey % 5 AS tile", "c_custkey * 37 % 997 + 0.0D AS i", "(c_acctbal * 7) % 883 AS j")
     b = joins.affine(a, [[c, -s], [s, c]], [25.0, -14.0])
-    h0, h1 = registration.hash_cells(a, ["well", "tile"]), registration.hash_cells(b, ["well", "tile"])
+    h0, h1 = registration.hash_cells(a, ["well", "tile"], packed=True), registration.hash_cells(b, ["well", "tile"], packed=True)
     where = spark.createDataFrame([("w", t, 100.0 * (t % 3), 90.0 * (t // 3)) for t in range(5)], "well string, tile bigint, x_pos double, y_pos double")
     seeds = spark.createDataFrame([("w", 0, 0), ("w", 1, 1), ("w", 4, 4)], "well string, tile bigint, site bigint")
     out = registration.multistep_alignment(h0, h1, where, where.withColumnRenamed("tile", "site"), seeds, ["well"])
