@@ -451,6 +451,16 @@ def test_clusters_of_more_genes_than_fit_one_matrix(spark, monkeypatch):
     assert got[["PHATE_0", "PHATE_1"]].notna().all().all()
 
 
+def test_cells_at_one_place_but_for_rounding_all_meet(spark):
+    from wellspring.operators import joins
+
+    rows = [(1, 5.0, 7.0), (2, 5.0, 7.0 + 1e-13), (3, 9.0, 7.0), (4, 5.0 - 1e-12, 7.0), (5, 9.0, 7.0 + 1e-3)]
+    frame = lambda shift: spark.createDataFrame([("p", "w", 1, c, x, y + shift * (-1) ** c) for c, x, y in rows], "plate string, well string, tile int, cell int, i double, j double")
+    al = spark.createDataFrame([("p", "w", 1, 1, [[1.0, 0.0], [0.0, 1.0]], [0.0, 0.0])], "plate string, well string, tile int, site int, rotation array<array<double>>, translation array<double>")
+    met = joins.merge_by_alignment(frame(0), frame(-3e-13).withColumnRenamed("tile", "site"), al, 2.0, coincident=True)
+    assert sorted((r.cell_0, r.cell_1) for r in met.collect()) == [(c, c) for c in range(1, 6)]
+
+
 def test_triangles_of_awkward_points():
     rng = np.random.default_rng(13)
     grid = np.array([(x, y) for x in range(12) for y in range(12)], float)

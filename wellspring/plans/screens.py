@@ -307,7 +307,7 @@ def triangle_alignment(spark, d):
     b = joins.affine(a, [[c, -s], [s, c]], [30.0, -12.0])
     keys = ["plate", "well"]
     pairs = spark.createDataFrame([("P1", "A1", 1, 1)], "plate string, well string, tile int, site int")
-    h0, h1 = registration.hash_cells(a, [*keys, "tile"]), registration.hash_cells(b, [*keys, "tile"])
+    h0, h1 = registration.hash_cells(a, [*keys, "tile"], packed=True), registration.hash_cells(b, [*keys, "tile"], packed=True)
     al = registration.align_pairs(h0, h1, pairs, keys)
     m = joins.merge_by_alignment(a, b.withColumnRenamed("tile", "site"), al, 2.0, coincident=True)
     return m.select("cell_0", "cell_1", F.round("distance", 3).alias("distance"))
